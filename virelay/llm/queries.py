@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from virelay.llm import bpe, components, mixing, top_n
+from virelay.llm import bpe, components, mixing, sentences, top_n
 from virelay.session import table
 
 
@@ -41,7 +41,11 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p5_found, p5_groups, p7_ids, p8_mix, p8_shares)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p5_found, p5_groups, p7_ids, p8_mix, p8_shares, p9_found)}
 
 _GROUPS = """WITH RECURSIVE links AS (
     SELECT DISTINCT query_name a, exemplar_name b FROM duplicate_group WHERE query_name <> exemplar_name

@@ -7,6 +7,8 @@ places stay what they were and nothing has to be restored but the places.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,9 @@ _TITLES = [
     "pág", "núm", "c", "ej", "т", "е", "ул", "им", "стр", "гр", "см", "κ", "κκ", "π", "χ", "σ", "αρ", "डॉ", "रु", "पं", "د", "م", "ص",
 ]
 # Months and the like, before which a number with a dot is an ordinal.
-_ORDINAL = "Januar|Jänner|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember|Jahrhundert|Jahrh"
+_ORDINAL = "Januar|J(?:ä|a\u0308)nner|Februar|M(?:ä|a\u0308)rz|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember|Jahrhundert|Jahrh"
+# Small words at the end of a line of a headline, which then goes on.
+_SMALL = "on|in|of|at|near|the|a|an|for|aus|bei|von|en|de|del|la|el|du|des|le|à|в|у|на|στην|στη|στο|στον"
 # Words that follow a quotation and belong to it, where letters have no case.
 _SAID_AFTER = r"[\s]*(?:صاح|سأل|هتف|أجاب|نادى)|[\s]*[^।॥|!?\ue000\ue002\ue010\ue011]{1,60}?ने\s(?:कहा|पूछा)"
 _SAID_CJK = r"\s*と|\s*[^。！？，\ue000\ue002\ue010\ue011]{0,24}(?:喊\n?道|说\n?道|问\n?道|答\n?道|叫\n?道)"
@@ -113,7 +117,7 @@ def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> Data
     rows = rows.withColumn("caps", F.when(F.col("unsure") | F.col("x0").isNull() | (indent >= ADVERT), _capitals(F.col("txt"))).otherwise(F.lit(False)))
     rows = rows.withColumn("prev", F.lag("txt").over(by_col)).withColumn("nth", F.row_number().over(by_col))
     # right halves: the first is a headline, maybe over more lines; headings of adverts cut into a sentence
-    prev_more = F.col("prev").rlike(r"[-‐¬=\u00ad]\s*$") | F.col("prev").rlike(r"(?:^|\s)(?:\p{Ll}{1,5}|NEAR|OF|AT|DE|DEL)\s*$")
+    prev_more = F.col("prev").rlike(r"[-‐¬=\u00ad]\s*$") | F.col("prev").rlike(rf"(?i)(?:^|\s)(?:{_SMALL})\s*$")
     titled = (F.col("nth") == 1) | ((F.col("nth") == 2) & (prev_more | (F.col("caps") & _capitals(F.col("prev"))) | F.col("txt").rlike(r"^\s*\p{Ll}")))
     heading = F.col("unsure") & ~titled & (F.col("caps") | F.col("txt").rlike(_CASELESS_HEADING))
     rows = rows.withColumn("heading", F.coalesce(heading, F.lit(False)))
@@ -155,11 +159,11 @@ def mask(c: Column) -> Column:
     """Dots that end nothing, quotations and brackets, character by character."""
     # decimals, then dots inside words, addresses and abbreviations
     c = _sub(c, r"\.(?<=\p{N}\.)(?=\n?\p{N})", _DOT)
-    c = _sub(c, rf"\.(?=[\p{{L}}\p{{N}}&&[^{_CJK}]])(?!(?<=\p{{Ll}}{{2}}\.)\p{{Lu}}[\p{{Ll}}\s])", _DOT)
+    c = _sub(c, rf"\.(?=[\p{{L}}\p{{N}}&&[^{_CJK}]])(?!(?<=(?:\p{{Ll}}{{2}}|[ap].m|½d)\.)\p{{Lu}}[\p{{Ll}}\s])", _DOT)
     c = _sub(c, r"\.(?=[-/@,;:])", _DOT)
     # initials, titles and other abbreviations, ordinals, fractions
     c = _sub(c, r"\.(?<=(?<![\p{L}\p{N}])\p{Lu}\.)(?=\s+[\p{Lu}])", _DOT)
-    titles = "|".join(a.replace(".", _DOT) for a in _TITLES)
+    titles = "|".join(dict.fromkeys(unicodedata.normalize(form, a.replace(".", _DOT)) for a in _TITLES for form in ("NFC", "NFD")))
     c = _sub(c, rf"(?<![\p{{L}}\p{{M}}\p{{N}}½¼¾])({titles})\.(?=[\s\p{{L}}])", f"$1{_DOT}")
     c = _sub(c, r"(?<![\p{L}])St\.(?=\s)(?<!\p{N}\s\p{L}{1,24}\sSt\.)", f"St{_DOT}")
     c = _sub(c, rf"\.(?<=\p{{N}}\.)(?=\s+(?:{_ORDINAL}))", _DOT)
@@ -197,7 +201,7 @@ def cut(c: Column) -> Column:
     speck = r"(?:[|~·'*,•][\s\u00a0]+)?"
     ahead = rf"(?=[\s\u00a0]+{speck}{start})"
     c = _sub(c, rf"([.!?…।॥؟‼⁉]+{close}){ahead}", f"$1{_CUT}")
-    c = _sub(c, rf"([.!?](?<=\p{{Ll}}{{2}}[.!?]))(?=\p{{Lu}}[\p{{Ll}}\s]|☞)", f"$1{_CUT}")
+    c = _sub(c, rf"([.!?](?<=(?:\p{{Ll}}{{2}}|[ap].m|½d)[.!?]))(?=\p{{Lu}}[\p{{Ll}}\s]|☞)", f"$1{_CUT}")
     ends = rf"({_END}[\s\u00a0]?{_MARK}?{_CLOSE}[)\]]?){ahead}(?!{_SAID_AFTER}|{_SAID_CJK}|[\s\u00a0]+[{_THAI}])"
     c = _if_has(c, _CLOSE, lambda x: _sub(x, ends, f"$1{_CUT}"))
     c = _if_has(c, _END, lambda x: _sub(x, rf"({_END}[)）\]]){ahead}", f"$1{_CUT}"))
