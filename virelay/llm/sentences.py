@@ -21,8 +21,9 @@ _PARA, _DOT, _END, _MARK, _GAP, _NAME, _CUT, _OPEN, _CLOSE = (chr(0xE000 + i) fo
 _EOL = r"\n\r\x0B\x0C\x85\u2028\u2029"
 _BLANK = r"\s\u00a0\u1680\u2000-\u200b\u202f\u205f\u3000\ufeff"
 _TERMS = ".!?…。！？।॥؟‼⁉｡"
-_CJK = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}々ー"
+_CJK = r"\u3005\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
 _THAI = r"ก-๏๚๛"
+_ORNAMENT = rf"^[{_BLANK}=~—–\-*·•_|#+]*$"
 
 # Abbreviations that a name, a number or more of the sentence follows.
 _TITLES = [
@@ -45,6 +46,10 @@ _ADVERT_START = (
     r"Попробуйте|Спросить|Цена|Δοκιμάστε|Τιμή|Οδός|جربوه|الثمن|एक बार|मूल्य|ลองดู|ราคา|一试|每盒|一度お試し|一箱)"
 )
 
+# What stands in front of a unit, and a unit behind it without blanks at its end.
+_SKIP = rf"^(?:[{_BLANK}{_PARA}{_GAP}]|[|~·*•,](?=\s)|'(?=\s))*"
+_BODY = rf"(?s){_SKIP}+(.*[^{_BLANK}{_PARA}{_GAP}])"
+
 
 def _sub(c: Column, pattern: str, to: str) -> Column:
     return F.regexp_replace(c, F.lit(pattern), F.lit(to))
@@ -64,59 +69,35 @@ def _ended(c: Column) -> Column:
     return c.rlike(rf"[{_TERMS};|][\"'”“»«’)\]）」』]*[{_BLANK}]*$")
 
 
-def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> DataFrame:
-    """(doc, k, at, txt, kind, col, unsure): the non-blank lines and half lines of each page, with their place in its text.
+def _half_lines(rows: DataFrame) -> DataFrame:
+    """Lines read across columns as two halves each, and what lines are where boxes don't tell.
 
-    ``kind`` is H(eadline), P(aragraph's first), B(ody) or A(dvert); ``unsure`` marks right halves of lines read across columns.
+    A right half has no box of its own: the first of a column is a headline, lines in capitals are headings, those inside a sentence
+    of adverts, and a line that had room for the next line's first word ends its paragraph.
     """
-    box = F.col(boxes) if boxes else F.lit(None).cast("array<struct<x0:int,y0:int,x1:int,y1:int,conf:float>>")
-    docs = df.select(F.col(doc_id).alias("doc"), F.col(text).alias("t"), box.alias("boxes")).where(F.col("doc").isNotNull() & F.col("t").rlike(rf"[^{_BLANK}]"))
-    one = docs.withColumn("n", F.row_number().over(Window.partitionBy("doc").orderBy("t"))).where("n = 1")
-    parts = F.split("t", rf"(?<=[{_EOL}])(?=[^{_EOL}]*[^{_BLANK}])")
-    one = one.select("doc", "boxes", parts.alias("parts"))
-    blank_first = ~F.get("parts", F.lit(0)).rlike(rf"[^{_BLANK}]")
-    one = one.select(
-        "doc",
-        F.when(blank_first, F.length(F.get("parts", F.lit(0)))).otherwise(0).alias("from"),
-        F.when(blank_first, F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))).otherwise(F.col("parts")).alias("parts"),
-        "boxes",
-    )
-    fits = F.size("parts") == F.coalesce(F.size("boxes"), F.lit(-1))
-    zipped = F.arrays_zip("parts", F.when(fits, F.transform("boxes", lambda b: F.struct(b["x0"].alias("x0"), b["x1"].alias("x1")))).alias("b"))
-    rows = one.select("doc", "from", F.posexplode(zipped).alias("k", "z")).select("doc", "from", "k", F.col("z.parts").alias("part"), F.col("z.b.x0").alias("x0"), F.col("z.b.x1").alias("x1"))
-    by_k = Window.partitionBy("doc").orderBy("k")
-    rows = rows.select(
-        "doc", "k", "x0",
-        (F.col("from") + F.coalesce(F.sum(F.length("part")).over(by_k.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).cast("int").alias("at"),
-        F.regexp_extract("part", f"^[^{_EOL}]*", 0).alias("line"),
-        F.coalesce(F.lag(F.col("part").rlike(rf"[{_EOL}][{_BLANK}]*[\n\r\x0C]$") & F.col("part").rlike(rf"\n[ \t\r]*[\n\r]")).over(by_k), F.lit(True)).alias("after_blank"),
-        (F.col("x1") - F.col("x0") > WIDE).alias("wide"),
-    )
     split = r"^(.*?[^\s])([ \u00a0]*\t[ \u00a0]*|[ \u00a0]{2,}\|[ \u00a0]+|[ \u00a0]{3,})([^\s].*)$"
-    rows = rows.withColumn("gap", F.when(F.col("wide"), F.regexp_extract("line", split, 2)))
-    least = F.min(F.when(F.col("gap") != "", F.length("gap"))).over(Window.partitionBy("doc"))
-    rows = rows.withColumn("least", least)
-    left, gap = F.regexp_extract("line", split, 1), F.length("gap")
-    half = F.struct
+    rows = rows.withColumn("gap", F.when(F.col("wide"), F.regexp_extract("txt", split, 2)))
+    rows = rows.withColumn("least", F.min(F.when(F.col("gap") != "", F.length("gap"))).over(Window.partitionBy("doc")))
+    left, gap = F.regexp_extract("txt", split, 1), F.length("gap")
+
+    def half(s: Column, txt: Column, right: int) -> Column:
+        return F.struct(s.alias("s"), txt.alias("txt"), F.lit(right).alias("right"))
+
     halves = F.when(
         gap > 0,
         F.array(
-            half(F.lit(0).alias("s"), F.concat(left, F.substring(F.lit("          "), F.lit(1), gap - F.col("least"))).alias("txt"), F.lit(0).alias("right")),
-            half((F.length(left) + gap).alias("s"), F.regexp_extract("line", split, 3).alias("txt"), F.lit(1).alias("right")),
+            half(F.lit(0), F.concat(left, F.substring(F.lit("          "), F.lit(1), gap - F.col("least"))), 0),
+            half(F.length(left) + gap, F.regexp_extract("txt", split, 3), 1),
         ),
-    ).otherwise(F.array(half(F.lit(0).alias("s"), F.col("line").alias("txt"), F.lit(0).alias("right"))))
+    ).otherwise(F.array(half(F.lit(0), F.col("txt"), 0)))
     rows = rows.withColumn("h", F.explode(halves)).select(
         "doc", "k", (F.col("at") + F.col("h.s")).alias("at"), F.col("h.txt").alias("txt"), "x0", "after_blank",
-        (F.col("h.right") == 1).alias("unsure"),
-        (F.coalesce(F.floor((F.col("x0") - COLUMN_LEFT + 50) / COLUMN_PITCH), F.lit(0)) + F.col("h.right")).cast("int").alias("col"),
+        (F.col("h.right") == 1).alias("unsure"), (F.col("col") + F.col("h.right")).alias("col"), "boxed",
     )
-    rows = rows.where(~F.col("txt").rlike(rf"^[{_BLANK}=~—–\-*·•_|#+]*$"))
-    indent = F.pmod(F.col("x0") - COLUMN_LEFT + 50, F.lit(COLUMN_PITCH)) - 50
-    boxed = F.when(indent < PARAGRAPH, "B").when(indent < ADVERT, "P").when(indent < HEADLINE, "A").otherwise("H")
+    rows = rows.where(~F.col("txt").rlike(_ORNAMENT))
     by_col = Window.partitionBy("doc", "col").orderBy("k")
-    rows = rows.withColumn("caps", F.when(F.col("unsure") | F.col("x0").isNull() | (indent >= ADVERT), _capitals(F.col("txt"))).otherwise(F.lit(False)))
+    rows = rows.withColumn("caps", F.when(F.col("unsure") | F.col("x0").isNull() | F.col("boxed").isin("A", "H"), _capitals(F.col("txt"))).otherwise(F.lit(False)))
     rows = rows.withColumn("prev", F.lag("txt").over(by_col)).withColumn("nth", F.row_number().over(by_col))
-    # right halves: the first is a headline, maybe over more lines; headings of adverts cut into a sentence
     prev_more = F.col("prev").rlike(r"[-‐¬=\u00ad]\s*$") | F.col("prev").rlike(rf"(?i)(?:^|\s)(?:{_SMALL})\s*$")
     titled = (F.col("nth") == 1) | ((F.col("nth") == 2) & (prev_more | (F.col("caps") & _capitals(F.col("prev"))) | F.col("txt").rlike(r"^\s*\p{Ll}")))
     heading = F.col("unsure") & ~titled & (F.col("caps") | F.col("txt").rlike(_CASELESS_HEADING))
@@ -125,27 +106,70 @@ def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> Data
     left_advert = ~F.col("heading") & F.coalesce(_ended(F.col("prev")), F.lit(True)) & ~F.col("txt").rlike(_ADVERT_START)
     back = F.sum((left_advert | ~F.col("unsure")).cast("int")).over(Window.partitionBy("doc", "col", "part").orderBy("k"))
     advert = (F.col("part") > 0) & (back == 0)
-    # a line that had room for the next line's first word is its paragraph's last
     room = F.max(F.length(F.rtrim("txt"))).over(Window.partitionBy("doc", "col", "unsure")) - F.length(F.rtrim("prev"))
     word = F.when(F.col("txt").rlike(rf"^\s*[{_CJK}{_THAI}]"), F.lit(2)).otherwise(F.length(F.regexp_extract("txt", rf"^\s*[^{_BLANK}]*", 0)) + 1)
     short = ~F.col("txt").rlike(r"^\s*\p{Ll}") & (room > word + 1)
     unsure_kind = F.when(titled, "H").when(advert, "A").when(short, "P").otherwise("B")
     plain = F.when(F.col("caps"), "H").when(F.col("after_blank"), "P").otherwise("B")
-    return rows.select("doc", "k", "at", "txt", F.when(F.col("unsure"), unsure_kind).when(F.col("x0").isNull(), plain).otherwise(boxed).alias("kind"), "col", "caps", "prev")
+    return rows.select("doc", "k", "at", "txt", F.when(F.col("unsure"), unsure_kind).when(F.col("x0").isNull(), plain).otherwise(F.col("boxed")).alias("kind"), "col", "caps")
+
+
+def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> DataFrame:
+    """(doc, k, at, txt, kind, col, caps): the non-blank lines and half lines of each page, with their place in its text.
+
+    ``kind`` is H(eadline), P(aragraph's first), B(ody) or A(dvert); ``caps`` marks headlines and adverts in capitals. Pages whose boxes tell all
+    need no more than that; only pages with lines across columns, or without fitting boxes, go through _half_lines.
+    """
+    box = F.col(boxes) if boxes else F.lit(None).cast("array<struct<x0:int,y0:int,x1:int,y1:int,conf:float>>")
+    docs = df.select(F.col(doc_id).alias("doc"), F.col(text).alias("t"), F.transform(box, lambda b: F.struct(b["x0"].alias("x0"), b["x1"].alias("x1"))).alias("boxes"))
+    docs = docs.where(F.col("doc").isNotNull() & F.col("t").rlike(rf"[^{_BLANK}]"))
+    one = docs.withColumn("n", F.row_number().over(Window.partitionBy("doc").orderBy("t"))).where("n = 1")
+    one = one.select("doc", "boxes", F.split("t", rf"(?<=[{_EOL}])(?=[{_BLANK}&&[^{_EOL}]]*[^{_BLANK}])").alias("parts"))
+    blank_first = ~F.get("parts", F.lit(0)).rlike(rf"[^{_BLANK}]")
+    one = one.select(
+        "doc", "boxes",
+        F.when(blank_first, F.length(F.get("parts", F.lit(0)))).otherwise(0).alias("from"),
+        F.when(blank_first, F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))).otherwise(F.col("parts")).alias("parts"),
+    )
+    fits = F.size("parts") == F.coalesce(F.size("boxes"), F.lit(-1))
+    one = one.withColumn("boxes", F.when(fits, F.col("boxes")))
+    known = F.col("boxes").isNotNull() & F.forall("boxes", lambda b: b["x1"] - b["x0"] <= WIDE)
+    indent = F.pmod(F.col("x0") - COLUMN_LEFT + 50, F.lit(COLUMN_PITCH)) - 50
+    by_k = Window.partitionBy("doc").orderBy("k")
+
+    def rows(pages: DataFrame) -> DataFrame:
+        r = pages.select("doc", "from", F.posexplode(F.arrays_zip("parts", F.col("boxes").alias("b"))).alias("k", "z"))
+        r = r.select("doc", "from", "k", F.col("z.parts").alias("part"), F.col("z.b.x0").alias("x0"), F.col("z.b.x1").alias("x1"))
+        before = F.sum(F.length("part")).over(by_k.rowsBetween(Window.unboundedPreceding, -1))
+        return r.select(
+            "doc", "k", "x0", "x1", "part", (F.col("from") + F.coalesce(before, F.lit(0))).cast("int").alias("at"),
+            F.rtrim(F.substring_index("part", "\n", 1), F.lit("\r\f\v\x85\u2028\u2029")).alias("txt"),
+            F.coalesce(F.floor((F.col("x0") - COLUMN_LEFT + 50) / COLUMN_PITCH), F.lit(0)).cast("int").alias("col"),
+            F.when(indent < PARAGRAPH, "B").when(indent < ADVERT, "P").when(indent < HEADLINE, "A").otherwise("H").alias("boxed"),
+        )
+
+    told = rows(one.where(known)).where(~F.col("txt").rlike(_ORNAMENT))
+    told = told.select("doc", "k", "at", "txt", F.col("boxed").alias("kind"), "col", F.when(F.col("boxed").isin("A", "H"), _capitals(F.col("txt"))).otherwise(F.lit(False)).alias("caps"))
+    other = rows(one.where(~F.coalesce(known, F.lit(False)))).select(
+        "doc", "k", "x0", "at", "txt", "col", "boxed", (F.col("x1") - F.col("x0") > WIDE).alias("wide"),
+        F.coalesce(F.lag(F.col("part").rlike(r"\n[ \t\r]*[\n\r]")).over(by_k), F.lit(True)).alias("after_blank"),
+    )
+    return told.unionByName(_half_lines(other))
 
 
 def _running(lines: DataFrame) -> DataFrame:
     """(doc, flow, at, piece, lead): lines in reading order, with their place in the running text; adverts behind the column's body."""
     order = Window.partitionBy("doc").orderBy("col", "advert", "k")
     lines = lines.withColumn("advert", (F.col("kind") == "A").cast("int"))
-    lines = lines.withColumn("pk", F.lag("kind").over(order)).withColumn("pc", F.lag("col").over(order)).withColumn("pcaps", F.lag("caps").over(order)).withColumn("pkk", F.lag("k").over(order))
-    in_block = (F.col("pk") == "A") & (F.col("pc") == F.col("col"))
+    before = F.lag(F.struct("kind", "col", "caps", F.when(F.col("kind") == "A", _ended(F.col("txt"))).alias("ended"))).over(order)
+    lines = lines.withColumn("p", before)
+    in_block = (F.col("p.kind") == "A") & (F.col("p.col") == F.col("col"))
     starts = (F.col("kind") == "A") & ~F.coalesce(in_block, F.lit(False))
-    begins = starts | ((F.col("kind") == "A") & (F.col("txt").rlike(_CASELESS_HEADING) | (F.col("caps") & ~F.col("pcaps") & _ended(F.col("prev")))))
+    begins = starts | ((F.col("kind") == "A") & (F.col("txt").rlike(_CASELESS_HEADING) | (F.col("caps") & ~F.col("p.caps") & F.col("p.ended"))))
     lines = lines.withColumn("begins", F.coalesce(begins, F.lit(False))).withColumn("after", F.lag("begins").over(order))
-    goes_on = (F.col("kind") == "A") & ~F.col("begins") & F.col("after") & F.col("caps") & F.col("pcaps")
+    goes_on = (F.col("kind") == "A") & ~F.col("begins") & F.col("after") & F.col("caps") & F.col("p.caps")
     lines = lines.withColumn("head", F.coalesce((F.col("kind") == "H") | F.col("begins") | goes_on, F.lit(False))).withColumn("phead", F.coalesce(F.lag("head").over(order), F.lit(False)))
-    fresh = F.col("pc").isNull() | (F.col("pc") != F.col("col")) | (F.col("kind") == "P") | F.col("begins") | (F.col("head") != F.col("phead")) | (F.coalesce(F.col("pk") == "A", F.lit(False)) != (F.col("kind") == "A"))
+    fresh = F.col("p").isNull() | (F.col("p.col") != F.col("col")) | (F.col("kind") == "P") | F.col("begins") | (F.col("head") != F.col("phead")) | (F.coalesce(F.col("p.kind") == "A", F.lit(False)) != (F.col("kind") == "A"))
     neutral = F.translate("txt", _TERMS + " \u00a0;|\"“”„«»'‘’「」『』()（）", _END * len(_TERMS) + _GAP * 2 + _MARK * 20)
     lines = lines.withColumn("lead", F.when(F.coalesce(fresh, F.lit(True)), _PARA).otherwise("")).withColumn("piece", F.when(F.col("head"), neutral).otherwise(F.col("txt")))
     size = F.length("lead") + F.length("piece") + 1
@@ -164,8 +188,8 @@ def mask(c: Column) -> Column:
     # initials, titles and other abbreviations, ordinals, fractions
     c = _sub(c, r"\.(?<=(?<![\p{L}\p{N}])\p{Lu}\.)(?=\s+[\p{Lu}])", _DOT)
     titles = "|".join(dict.fromkeys(unicodedata.normalize(form, a.replace(".", _DOT)) for a in _TITLES for form in ("NFC", "NFD")))
-    c = _sub(c, rf"(?<![\p{{L}}\p{{M}}\p{{N}}½¼¾])({titles})\.(?=[\s\p{{L}}])", f"$1{_DOT}")
-    c = _sub(c, r"(?<![\p{L}])St\.(?=\s)(?<!\p{N}\s\p{L}{1,24}\sSt\.)", f"St{_DOT}")
+    c = _sub(c, rf"\.(?<=(?<![\p{{L}}\p{{M}}\p{{N}}½¼¾])(?:{titles})\.)(?=[\s\p{{L}}])", _DOT)
+    c = _sub(c, r"\.(?<=(?<![\p{L}])St\.)(?=\s)(?<!\p{N}\s\p{L}{1,24}\sSt\.)", _DOT)
     c = _sub(c, rf"\.(?<=\p{{N}}\.)(?=\s+(?:{_ORDINAL}))", _DOT)
     c = _sub(c, r"\.(?=\s+[½¼¾⅓⅔⅛])", _DOT)
     c = _sub(c, r"\.(?<=(?i:str|straße|strasse)\.)(?=\s+\p{N})", _DOT)
@@ -173,25 +197,36 @@ def mask(c: Column) -> Column:
     c = _sub(c, r"\.(?<=\p{N}s\.)(?=\s+\p{N})", _DOT)
     c = _if_has(c, "Ѐ-ӿ", lambda x: _sub(_sub(x, r"\.(?<=\s[вВ]\sг\.)", _DOT), r"\.(?<=(?<![\p{L}])д\.)(?=\s+\p{N})", _DOT))
     # a raised dot read for a dot, where a sentence begins behind it
-    c = _if_has(c, "·", lambda x: _sub(x, r"·(?<=[\p{L}\p{N})”»]·)(?<![\p{IsGreek}]·)(?=\s+\p{Lu})", "."))
+    c = _if_has(c, "·", lambda x: _sub(x, r"·(?<=[\p{L}\p{N})”»]·)(?<![\u0370-\u03ff\u1f00-\u1fff]·)(?=\s+\p{Lu})", "."))
     # ellipses that the sentence goes on behind
     c = _sub(c, rf"…(?=…|[{_BLANK}]*[\p{{Ll}}\p{{Lo}}])", _MARK)
     # a bar for the danda; the Greek question mark
     c = _if_has(c, "ऀ-ॿ", lambda x: _sub(x, r"\|(?<=[ऀ-ॿ]\s{0,2}\|)", "।"))
-    c = _if_has(c, "Ͱ-Ͽ", lambda x: _sub(x, r"[;;](?<=[\p{IsGreek}\p{M}][;;])", "؟"))
+    c = _if_has(c, "Ͱ-Ͽ", lambda x: _sub(x, r"[;;](?<=[\u0370-\u03ff\u1f00-\u1fff\p{M}][;;])", "؟"))
     # quotations: opening and closing marks of all styles become one pair
     inner = rf"[^{_PARA}{_OPEN}{_CLOSE}"
     c = _if_has(c, "„", lambda x: _sub(x, rf"„({inner}„“”]{{1,900}})[“”]", f"{_OPEN}$1{_CLOSE}"))
     c = _if_has(c, "“”", lambda x: _sub(x, rf"“({inner}“”]{{1,900}})”", f"{_OPEN}$1{_CLOSE}"))
-    c = _if_has(c, "«»", lambda x: _sub(x, rf"»(?<![\p{{L}}\p{{N}}.,!?;:\s\u00a0]»)(?<=(?:^|[\s{_PARA}(—])»|\n»)(?=[\p{{L}}\p{{N}}])({inner}«»]{{1,900}})«(?![\p{{L}}\p{{N}}])", f"{_OPEN}$1{_CLOSE}"))
-    c = _if_has(c, "«»", lambda x: _sub(x, rf"(?<=(?:^|[\s\u00a0{_PARA}(—]))»(?=[\p{{L}}\p{{N}}])({inner}«»]{{1,900}})«(?![\p{{L}}\p{{N}}])", f"{_OPEN}$1{_CLOSE}"))
+    c = _if_has(c, "«»", lambda x: _sub(x, rf"»(?<=(?:^|[\s\u00a0{_PARA}(—])»)(?=[\p{{L}}\p{{N}}])({inner}«»]{{1,900}})«(?![\p{{L}}\p{{N}}])", f"{_OPEN}$1{_CLOSE}"))
     c = _if_has(c, "«»", lambda x: _sub(x, rf"«({inner}«»]{{1,900}})»", f"{_OPEN}$1{_CLOSE}"))
     c = _if_has(c, '"', lambda x: _sub(x, rf'"({inner}"]{{1,900}})"', f"{_OPEN}$1{_CLOSE}"))
     c = _if_has(c, "'", lambda x: _sub(x, rf"''({inner}]{{1,900}}?)''", f"{_OPEN}{_MARK}$1{_MARK}{_CLOSE}"))
     c = _if_has(c, "「『", lambda x: _sub(_sub(x, rf"『({inner}『』]{{1,900}})』", f"{_NAME}$1{_MARK}"), rf"「({inner}「」]{{1,900}})」", f"{_OPEN}$1{_CLOSE}"))
-    terms = f"[{_TERMS}]"
-    c = _if_has(c, _CLOSE, lambda x: _sub(x, rf"{terms}(?=[^{_PARA}{_OPEN}{_CLOSE}]{{0,900}}{_CLOSE})", _END))
-    return _if_has(c, ")）", lambda x: _sub(x, rf"{terms}(?=[^{_PARA}()（）]{{0,600}}[)）])", _END))
+    # what ends nothing inside quotations and brackets
+    c = _if_has(c, _CLOSE, lambda x: _inside(x, _OPEN, _CLOSE))
+    c = _if_has(c, "(", lambda x: _inside(x, "(", ")"))
+    return _if_has(c, "（", lambda x: _inside(x, "（", "）"))
+
+
+def _inside(c: Column, open_: str, close: str) -> Column:
+    """Terminators masked between each opening mark and the next closing one, unless a paragraph ends between."""
+
+    def part(e: Column, i: Column) -> Column:
+        head = F.substring_index(e, close, 1)
+        pair = (i > 0) & e.contains(close) & ~head.contains(_PARA)
+        return F.when(pair, F.concat(F.translate(head, _TERMS, _END * len(_TERMS)), F.substr(e, F.length(head) + 1))).otherwise(e)
+
+    return F.array_join(F.transform(F.split(c, f"[{open_}]"), part), open_)
 
 
 def cut(c: Column) -> Column:
@@ -225,17 +260,25 @@ def sentences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", boxes:
     Texts are cut whole, however long. Rows are shuffled once, by doc_id; all windows and groups are within a page.
     """
     lines = _running(page_lines(df, doc_id, text, boxes))
-    pages = lines.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("i", F.concat("lead", "piece").alias("s")))).alias("rows"))
-    joined = pages.select("doc", F.array_join("rows.s", "\n").alias("run"))
-    pieces = joined.select("doc", F.posexplode(F.split(cut(mask(F.col("run"))), _CUT)).alias("j", "u"))
-    start = F.coalesce(F.sum(F.length("u")).over(Window.partitionBy("doc").orderBy("j").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
-    skip = rf"^(?:[{_BLANK}{_PARA}{_GAP}]|[|~·*•,](?=\s)|'(?=\s))+"
-    trail = rf"[{_BLANK}{_PARA}{_GAP}]+$"
-    pieces = pieces.withColumn("b", start).withColumn("body", _sub(F.col("u"), skip, "")).where(F.col("body").rlike(r"[\p{L}\p{N}]"))
-    pieces = pieces.select("doc", (F.col("b") + F.length("u") - F.length("body")).alias("b"), F.length(_sub(F.col("body"), trail, "")).alias("n"))
-    ends = pieces.select("doc", F.posexplode(F.array(F.col("b"), F.col("b") + F.col("n") - 1)).alias("side", "p"), F.col("b").alias("unit"))
-    lined = lines.select("doc", (F.col("flow") + F.length("lead")).alias("p"), F.lit(-1).alias("side"), F.lit(None).cast("int").alias("unit"), (F.col("at") - F.col("flow") - F.length("lead")).alias("shift"))
-    placed = lined.unionByName(ends.withColumn("shift", F.lit(None).cast("int")))
+    first = F.col("flow") + F.length("lead")
+    row = F.struct("i", F.concat("lead", "piece").alias("s"), first.alias("p"), (F.col("at") - first).alias("shift"))
+    pages = lines.groupBy("doc").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    pieces = F.split(cut(mask(F.array_join("rows.s", "\n"))), _CUT)
+    # lines, with the shift from the running text to the page's, and pieces of text go through the same two windows
+    none, no_text = F.lit(None).cast("int"), F.lit(None).cast("string")
+    items = F.concat(
+        F.transform("rows", lambda r: F.struct(F.lit(0).alias("t"), r["p"].alias("n"), r["shift"].alias("shift"), no_text.alias("u"))),
+        F.transform(pieces, lambda u, j: F.struct(F.lit(1).alias("t"), j.alias("n"), none.alias("shift"), u.alias("u"))),
+    )
+    items = pages.select("doc", F.explode(items).alias("x")).select("doc", "x.*")
+    before = F.sum(F.length("u")).over(Window.partitionBy("doc").orderBy("t", "n").rowsBetween(Window.unboundedPreceding, -1))
+    items = items.withColumn("b", F.coalesce(before, F.lit(0)).cast("int")).withColumn("body", F.regexp_extract("u", _BODY, 1))
+    items = items.where((F.col("t") == 0) | F.col("body").rlike(r"[\p{L}\p{N}]"))
+    start = F.col("b") + F.length(F.regexp_extract("u", _SKIP, 0))
+    ends = F.when(
+        F.col("t") == 0, F.array(F.struct(F.col("n").alias("p"), F.lit(-1).alias("side"), none.alias("unit")))
+    ).otherwise(F.array(F.struct(start.alias("p"), F.lit(0).alias("side"), F.col("b").alias("unit")), F.struct((start + F.length("body") - 1).alias("p"), F.lit(1).alias("side"), F.col("b").alias("unit"))))
+    placed = items.select("doc", "shift", F.explode(ends).alias("e")).select("doc", "shift", "e.*")
     shift = F.last("shift", ignorenulls=True).over(Window.partitionBy("doc").orderBy("p", "side"))
     placed = placed.withColumn("at", F.col("p") + shift).where(F.col("side") >= 0)
     return placed.groupBy("doc", "unit").agg(F.min("at").alias("start_char"), (F.max("at") + 1).alias("end_char")).select(F.col("doc").alias(doc_id), "start_char", "end_char")
