@@ -1 +1 @@
-"""Column expressions."""
+"""Column expressions on reads and table cells."""
