@@ -18,8 +18,7 @@ COLUMN_LEFT, COLUMN_PITCH, PARAGRAPH, ADVERT, HEADLINE, WIDE = 110, 790, 18, 45,
 
 # Private-use characters: break of paragraph; masked dot; masked terminator; neutral mark; blank in a headline; opening mark of a name; cut; opening and closing quote.
 _PARA, _DOT, _END, _MARK, _GAP, _NAME, _CUT, _OPEN, _CLOSE = (chr(0xE000 + i) for i in (0, 1, 2, 3, 4, 5, 11, 16, 17))
-_EOL = r"\n\r\x0B\x0C\x85\u2028\u2029"
-_BLANK = r"\s\u00a0\u1680\u2000-\u200b\u202f\u205f\u3000\ufeff"
+_BLANK = r"\s"
 _TERMS = ".!?…。！？।॥؟‼⁉｡"
 _CJK = r"\u3005\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
 _THAI = r"ก-๏๚๛"
@@ -46,18 +45,19 @@ _ADVERT_START = (
     r"Попробуйте|Спросить|Цена|Δοκιμάστε|Τιμή|Οδός|جربوه|الثمن|एक बार|मूल्य|ลองดู|ราคา|一试|每盒|一度お試し|一箱)"
 )
 
-# What stands in front of a unit, and a unit behind it without blanks at its end.
-_SKIP = rf"^(?:[{_BLANK}{_PARA}{_GAP}]|[|~·*•,](?=\s)|'(?=\s))*"
-_BODY = rf"(?s){_SKIP}+(.*[^{_BLANK}{_PARA}{_GAP}])"
-
 
 def _sub(c: Column, pattern: str, to: str) -> Column:
     return F.regexp_replace(c, F.lit(pattern), F.lit(to))
 
 
+def _let(c: Column, use) -> Column:
+    """``use`` of a value that is computed once, as a lambda's variable."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def _if_has(c: Column, chars: str, change) -> Column:
-    """``change`` only for texts with one of the characters; the text is computed once and bound to a lambda's variable."""
-    return F.get(F.transform(F.array(c), lambda x: F.when(x.rlike(f"[{chars}]"), change(x)).otherwise(x)), F.lit(0))
+    """``change`` only for texts with a character of the class, given as one character or as ranges."""
+    return _let(c, lambda x: F.when(x.contains(chars) if len(chars) == 1 else x.rlike(f"[{chars}]"), change(x)).otherwise(x))
 
 
 def _capitals(c: Column) -> Column:
@@ -114,104 +114,131 @@ def _half_lines(rows: DataFrame) -> DataFrame:
     return rows.select("doc", "k", "at", "txt", F.when(F.col("unsure"), unsure_kind).when(F.col("x0").isNull(), plain).otherwise(F.col("boxed")).alias("kind"), "col", "caps")
 
 
+def _starts(sizes: Column, first: Column) -> Column:
+    """Where each of consecutive pieces starts, and where the last ends."""
+    return F.aggregate(sizes, F.array(first), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+
+
 def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> DataFrame:
-    """(doc, k, at, txt, kind, col, caps): the non-blank lines and half lines of each page, with their place in its text.
+    """(doc, rows): for each page an array of its non-blank lines and half lines (col, advert, k, at, txt, kind, caps) in reading order.
 
-    ``kind`` is H(eadline), P(aragraph's first), B(ody) or A(dvert); ``caps`` marks headlines and adverts in capitals. Pages whose boxes tell all
-    need no more than that; only pages with lines across columns, or without fitting boxes, go through _half_lines.
+    ``at`` is a line's place in the page's text. ``kind`` is H(eadline), P(aragraph's first), B(ody) or A(dvert); ``caps`` marks
+    headlines and adverts in capitals; adverts come behind the body of their column. Pages whose boxes tell all are done within their row; only
+    pages with lines across columns, or without fitting boxes, go through _half_lines.
     """
     box = F.col(boxes) if boxes else F.lit(None).cast("array<struct<x0:int,y0:int,x1:int,y1:int,conf:float>>")
     docs = df.select(F.col(doc_id).alias("doc"), F.col(text).alias("t"), F.transform(box, lambda b: F.struct(b["x0"].alias("x0"), b["x1"].alias("x1"))).alias("boxes"))
-    docs = docs.where(F.col("doc").isNotNull() & F.col("t").rlike(rf"[^{_BLANK}]"))
+    # one mark for all line ends and one for all blanks, a character for a character
+    ends, blanks = "\r\v\f\x85\u2028\u2029", "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u202f\u205f\u3000\ufeff"
+    plain = F.when(F.col("t").rlike(f"[{ends}{blanks}]"), F.translate("t", ends + blanks, "\n" * len(ends) + " " * len(blanks))).otherwise(F.col("t"))
+    docs = docs.where(F.col("doc").isNotNull() & F.col("t").isNotNull()).withColumn("t", plain).where(F.col("t").rlike(r"\S"))
     one = docs.withColumn("n", F.row_number().over(Window.partitionBy("doc").orderBy("t"))).where("n = 1")
-    one = one.select("doc", "boxes", F.split("t", rf"(?<=[{_EOL}])(?=[{_BLANK}&&[^{_EOL}]]*[^{_BLANK}])").alias("parts"))
-    blank_first = ~F.get("parts", F.lit(0)).rlike(rf"[^{_BLANK}]")
+    one = one.select("doc", "boxes", F.split("t", r"(?<=\n)(?=[ \t]*\S)").alias("parts"))
+    blank_first = F.trim(F.get("parts", F.lit(0)), F.lit(" \t\n")) == ""
     one = one.select(
         "doc", "boxes",
         F.when(blank_first, F.length(F.get("parts", F.lit(0)))).otherwise(0).alias("from"),
         F.when(blank_first, F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))).otherwise(F.col("parts")).alias("parts"),
     )
     fits = F.size("parts") == F.coalesce(F.size("boxes"), F.lit(-1))
-    one = one.withColumn("boxes", F.when(fits, F.col("boxes")))
-    known = F.col("boxes").isNotNull() & F.forall("boxes", lambda b: b["x1"] - b["x0"] <= WIDE)
-    indent = F.pmod(F.col("x0") - COLUMN_LEFT + 50, F.lit(COLUMN_PITCH)) - 50
-    by_k = Window.partitionBy("doc").orderBy("k")
+    one = one.select("doc", F.when(fits, F.col("boxes")).alias("boxes"), "parts", _starts(F.transform("parts", F.length), F.col("from")).alias("starts"))
+    known = F.coalesce(F.forall("boxes", lambda b: b["x1"] - b["x0"] <= WIDE), F.lit(False))
 
-    def rows(pages: DataFrame) -> DataFrame:
-        r = pages.select("doc", "from", F.posexplode(F.arrays_zip("parts", F.col("boxes").alias("b"))).alias("k", "z"))
-        r = r.select("doc", "from", "k", F.col("z.parts").alias("part"), F.col("z.b.x0").alias("x0"), F.col("z.b.x1").alias("x1"))
-        before = F.sum(F.length("part")).over(by_k.rowsBetween(Window.unboundedPreceding, -1))
-        return r.select(
-            "doc", "k", "x0", "x1", "part", (F.col("from") + F.coalesce(before, F.lit(0))).cast("int").alias("at"),
-            F.rtrim(F.substring_index("part", "\n", 1), F.lit("\r\f\v\x85\u2028\u2029")).alias("txt"),
-            F.coalesce(F.floor((F.col("x0") - COLUMN_LEFT + 50) / COLUMN_PITCH), F.lit(0)).cast("int").alias("col"),
-            F.when(indent < PARAGRAPH, "B").when(indent < ADVERT, "P").when(indent < HEADLINE, "A").otherwise("H").alias("boxed"),
-        )
-
-    told = rows(one.where(known)).where(~F.col("txt").rlike(_ORNAMENT))
-    told = told.select("doc", "k", "at", "txt", F.col("boxed").alias("kind"), "col", F.when(F.col("boxed").isin("A", "H"), _capitals(F.col("txt"))).otherwise(F.lit(False)).alias("caps"))
-    other = rows(one.where(~F.coalesce(known, F.lit(False)))).select(
-        "doc", "k", "x0", "at", "txt", "col", "boxed", (F.col("x1") - F.col("x0") > WIDE).alias("wide"),
-        F.coalesce(F.lag(F.col("part").rlike(r"\n[ \t\r]*[\n\r]")).over(by_k), F.lit(True)).alias("after_blank"),
-    )
-    return told.unionByName(_half_lines(other))
-
-
-def _running(lines: DataFrame) -> DataFrame:
-    """(doc, flow, at, piece, lead): lines in reading order, with their place in the running text; adverts behind the column's body."""
-    order = Window.partitionBy("doc").orderBy("col", "advert", "k")
-    lines = lines.withColumn("advert", (F.col("kind") == "A").cast("int"))
-    before = F.lag(F.struct("kind", "col", "caps", F.when(F.col("kind") == "A", _ended(F.col("txt"))).alias("ended"))).over(order)
-    lines = lines.withColumn("p", before)
-    in_block = (F.col("p.kind") == "A") & (F.col("p.col") == F.col("col"))
-    starts = (F.col("kind") == "A") & ~F.coalesce(in_block, F.lit(False))
-    begins = starts | ((F.col("kind") == "A") & (F.col("txt").rlike(_CASELESS_HEADING) | (F.col("caps") & ~F.col("p.caps") & F.col("p.ended"))))
-    lines = lines.withColumn("begins", F.coalesce(begins, F.lit(False))).withColumn("after", F.lag("begins").over(order))
-    goes_on = (F.col("kind") == "A") & ~F.col("begins") & F.col("after") & F.col("caps") & F.col("p.caps")
-    lines = lines.withColumn("head", F.coalesce((F.col("kind") == "H") | F.col("begins") | goes_on, F.lit(False))).withColumn("phead", F.coalesce(F.lag("head").over(order), F.lit(False)))
-    fresh = F.col("p").isNull() | (F.col("p.col") != F.col("col")) | (F.col("kind") == "P") | F.col("begins") | (F.col("head") != F.col("phead")) | (F.coalesce(F.col("p.kind") == "A", F.lit(False)) != (F.col("kind") == "A"))
-    neutral = F.translate("txt", _TERMS + " \u00a0;|\"“”„«»'‘’「」『』()（）", _END * len(_TERMS) + _GAP * 2 + _MARK * 20)
-    lines = lines.withColumn("lead", F.when(F.coalesce(fresh, F.lit(True)), _PARA).otherwise("")).withColumn("piece", F.when(F.col("head"), neutral).otherwise(F.col("txt")))
-    size = F.length("lead") + F.length("piece") + 1
-    return lines.select(
-        "doc", "at", "lead", "piece", F.row_number().over(order).alias("i"),
-        F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int").alias("flow"),
+    def column_of(x0: Column) -> Column:
+        return F.coalesce(F.floor((x0 - COLUMN_LEFT + 50) / COLUMN_PITCH), F.lit(0)).cast("int")
+
+    def kind_of(x0: Column) -> Column:
+        indent = F.pmod(x0 - COLUMN_LEFT + 50, F.lit(COLUMN_PITCH)) - 50
+        return F.when(indent < PARAGRAPH, "B").when(indent < ADVERT, "P").when(indent < HEADLINE, "A").otherwise("H")
+
+    def line_of(part: Column) -> Column:
+        return F.substring_index(part, "\n", 1)
+
+    def row(k: Column, at: Column, txt: Column, kind: Column, col: Column, caps: Column) -> Column:
+        return F.struct(col.alias("col"), (kind == "A").cast("int").alias("advert"), k.cast("int").alias("k"), at.cast("int").alias("at"), txt.alias("txt"), kind.alias("kind"), caps.alias("caps"))
+
+    def told_row(part: Column, i: Column) -> Column:
+        x0 = F.get("boxes", i)["x0"]
+        return _let(F.struct(line_of(part).alias("txt"), kind_of(x0).alias("kind")), lambda v: row(i, F.get("starts", i), v["txt"], v["kind"], column_of(x0), F.when(v["kind"].isin("A", "H"), _capitals(v["txt"])).otherwise(F.lit(False))))
+
+    told = one.where(known).select("doc", F.array_sort(F.filter(F.transform("parts", told_row), lambda r: ~r["txt"].rlike(_ORNAMENT))).alias("rows"))
+    other = one.where(~known).select("doc", F.posexplode(F.arrays_zip("parts", F.coalesce("boxes", F.array().cast("array<struct<x0:int,x1:int>>")).alias("boxes"), F.slice("starts", F.lit(1), F.size("parts")).alias("starts"))).alias("k", "z"))
+    x0 = F.col("z.boxes.x0")
+    by_k = Window.partitionBy("doc").orderBy("k")
+    other = other.select(
+        "doc", "k", x0.alias("x0"), F.col("z.starts").alias("at"), line_of(F.col("z.parts")).alias("txt"), column_of(x0).alias("col"), kind_of(x0).alias("boxed"),
+        (F.col("z.boxes.x1") - x0 > WIDE).alias("wide"),
+        F.coalesce(F.lag(F.col("z.parts").rlike(r"\n[ \t]*\n")).over(by_k), F.lit(True)).alias("after_blank"),
     )
+    halves = _half_lines(other)
+    halves = halves.groupBy("doc").agg(F.array_sort(F.collect_list(row(F.col("k"), F.col("at"), F.col("txt"), F.col("kind"), F.col("col"), F.coalesce("caps", F.lit(False))))).alias("rows"))
+    return told.unionByName(halves)
+
+
+def _running(rows: Column) -> Column:
+    """The rows with ``lead``, a mark in front of those that begin a paragraph, and ``piece``, their text; headlines and advert headings masked."""
+
+    def begins(r: Column, i: Column) -> Column:
+        p = F.get(rows, i - 1)
+        first = (i == 0) | (p["kind"] != "A") | (p["col"] != r["col"])
+        return (r["kind"] == "A") & (first | r["txt"].rlike(_CASELESS_HEADING) | (r["caps"] & ~p["caps"] & _ended(p["txt"])))
+
+    def heads(starts: Column) -> Column:
+        def head(r: Column, i: Column) -> Column:
+            goes_on = (r["kind"] == "A") & (i > 0) & F.coalesce(F.get(starts, i - 1), F.lit(False)) & r["caps"] & F.coalesce(F.get(rows, i - 1)["caps"], F.lit(False))
+            return (r["kind"] == "H") | F.get(starts, i) | goes_on
+
+        return F.transform(rows, head)
+
+    def finished(starts: Column, head: Column) -> Column:
+        def one(r: Column, i: Column) -> Column:
+            p = F.get(rows, i - 1)
+            fresh = (i == 0) | (p["col"] != r["col"]) | (r["kind"] == "P") | F.get(starts, i) | (F.get(head, i) != F.get(head, i - 1)) | ((p["kind"] == "A") != (r["kind"] == "A"))
+            neutral = F.translate(r["txt"], _TERMS + " ;|\"“”„«»'‘’「」『』()（）", _END * len(_TERMS) + _GAP + _MARK * 20)
+            return F.struct(r["at"].alias("at"), F.when(fresh, _PARA).otherwise("").alias("lead"), F.when(F.get(head, i), neutral).otherwise(r["txt"]).alias("piece"))
+
+        return F.transform(rows, one)
+
+    return _let(F.transform(rows, begins), lambda starts: _let(heads(starts), lambda head: finished(starts, head)))
 
 
 def mask(c: Column) -> Column:
     """Dots that end nothing, quotations and brackets, character by character."""
-    # decimals, then dots inside words, addresses and abbreviations
-    c = _sub(c, r"\.(?<=\p{N}\.)(?=\n?\p{N})", _DOT)
-    c = _sub(c, rf"\.(?=[\p{{L}}\p{{N}}&&[^{_CJK}]])(?!(?<=(?:\p{{Ll}}{{2}}|[ap].m|½d)\.)\p{{Lu}}[\p{{Ll}}\s])", _DOT)
-    c = _sub(c, r"\.(?=[-/@,;:])", _DOT)
-    # initials, titles and other abbreviations, ordinals, fractions
-    c = _sub(c, r"\.(?<=(?<![\p{L}\p{N}])\p{Lu}\.)(?=\s+[\p{Lu}])", _DOT)
-    titles = "|".join(dict.fromkeys(unicodedata.normalize(form, a.replace(".", _DOT)) for a in _TITLES for form in ("NFC", "NFD")))
-    c = _sub(c, rf"\.(?<=(?<![\p{{L}}\p{{M}}\p{{N}}½¼¾])(?:{titles})\.)(?=[\s\p{{L}}])", _DOT)
-    c = _sub(c, r"\.(?<=(?<![\p{L}])St\.)(?=\s)(?<!\p{N}\s\p{L}{1,24}\sSt\.)", _DOT)
-    c = _sub(c, rf"\.(?<=\p{{N}}\.)(?=\s+(?:{_ORDINAL}))", _DOT)
-    c = _sub(c, r"\.(?=\s+[½¼¾⅓⅔⅛])", _DOT)
-    c = _sub(c, r"\.(?<=(?i:str|straße|strasse)\.)(?=\s+\p{N})", _DOT)
-    c = _if_has(c, _THAI, lambda x: _sub(x, rf"\.(?<=[{_THAI}]\.)", _DOT))
-    c = _sub(c, r"\.(?<=\p{N}s\.)(?=\s+\p{N})", _DOT)
-    c = _if_has(c, "Ѐ-ӿ", lambda x: _sub(_sub(x, r"\.(?<=\s[вВ]\sг\.)", _DOT), r"\.(?<=(?<![\p{L}])д\.)(?=\s+\p{N})", _DOT))
+    titles = "|".join(dict.fromkeys(unicodedata.normalize(form, a.replace(".", r"\.")) for a in _TITLES for form in ("NFC", "NFD")))
+    word, upper = r"(?<![\p{L}\p{M}\p{N}½¼¾])", r"(?=\s+\p{Lu})"
+    dots = [
+        r"(?<=\p{N}\.)(?=\n?\p{N})",  # decimals
+        rf"(?=[\p{{L}}\p{{N}}&&[^{_CJK}]])(?!(?<=(?:\p{{Ll}}{{2}}|[ap].m|½d)\.)\p{{Lu}}[\p{{Ll}}\s])",  # inside words and addresses
+        r"(?=[-/@,;:])",
+        rf"(?<={word}\p{{Lu}}\.){upper}",  # initials
+        rf"(?<={word}(?:{titles})\.)(?=[\s\p{{L}}])",
+        rf"(?<={word}St\.)(?=\s)(?<!\p{{N}}\s\p{{L}}{{1,24}}\sSt\.)",  # a saint, not a street with a number
+        rf"(?<=\p{{N}}\.)(?=\s+(?:{_ORDINAL}))",
+        r"(?=\s+[½¼¾⅓⅔⅛])",
+        r"(?<=(?i:str|straße|strasse)\.)(?=\s+\p{N})",
+        rf"(?<=[{_THAI}]\.)",
+        r"(?<=\p{N}s\.)(?=\s+\p{N})",
+        r"(?<=\s[вВ]\sг\.)",
+        rf"(?<={word}д\.)(?=\s+\p{{N}})",
+    ]
+    c = _sub(c, rf"\.(?:{'|'.join(dots)})", _DOT)
     # a raised dot read for a dot, where a sentence begins behind it
     c = _if_has(c, "·", lambda x: _sub(x, r"·(?<=[\p{L}\p{N})”»]·)(?<![\u0370-\u03ff\u1f00-\u1fff]·)(?=\s+\p{Lu})", "."))
     # ellipses that the sentence goes on behind
-    c = _sub(c, rf"…(?=…|[{_BLANK}]*[\p{{Ll}}\p{{Lo}}])", _MARK)
+    c = _if_has(c, "…", lambda x: _sub(x, r"…(?=…|\s*[\p{Ll}\p{Lo}])", _MARK))
     # a bar for the danda; the Greek question mark
-    c = _if_has(c, "ऀ-ॿ", lambda x: _sub(x, r"\|(?<=[ऀ-ॿ]\s{0,2}\|)", "।"))
-    c = _if_has(c, "Ͱ-Ͽ", lambda x: _sub(x, r"[;;](?<=[\u0370-\u03ff\u1f00-\u1fff\p{M}][;;])", "؟"))
+    c = _if_has(c, "|", lambda x: _sub(x, r"\|(?<=[ऀ-ॿ]\s{0,2}\|)", "।"))
+    c = _if_has(c, ";", lambda x: _sub(x, r"[;;](?<=[\u0370-\u03ff\u1f00-\u1fff\u0300\u0301][;;])", "؟"))
     # quotations: opening and closing marks of all styles become one pair
     inner = rf"[^{_PARA}{_OPEN}{_CLOSE}"
     c = _if_has(c, "„", lambda x: _sub(x, rf"„({inner}„“”]{{1,900}})[“”]", f"{_OPEN}$1{_CLOSE}"))
-    c = _if_has(c, "“”", lambda x: _sub(x, rf"“({inner}“”]{{1,900}})”", f"{_OPEN}$1{_CLOSE}"))
-    c = _if_has(c, "«»", lambda x: _sub(x, rf"»(?<=(?:^|[\s\u00a0{_PARA}(—])»)(?=[\p{{L}}\p{{N}}])({inner}«»]{{1,900}})«(?![\p{{L}}\p{{N}}])", f"{_OPEN}$1{_CLOSE}"))
-    c = _if_has(c, "«»", lambda x: _sub(x, rf"«({inner}«»]{{1,900}})»", f"{_OPEN}$1{_CLOSE}"))
+    c = _if_has(c, "“", lambda x: _sub(x, rf"“({inner}“”]{{1,900}})”", f"{_OPEN}$1{_CLOSE}"))
+    german = rf"»(?<=(?:^|[\s{_PARA}(—])»)(?=[\p{{L}}\p{{N}}])({inner}«»]{{1,900}})«(?![\p{{L}}\p{{N}}])"
+    c = _if_has(c, "«", lambda x: _sub(_sub(x, german, f"{_OPEN}$1{_CLOSE}"), rf"«({inner}«»]{{1,900}})»", f"{_OPEN}$1{_CLOSE}"))
     c = _if_has(c, '"', lambda x: _sub(x, rf'"({inner}"]{{1,900}})"', f"{_OPEN}$1{_CLOSE}"))
-    c = _if_has(c, "'", lambda x: _sub(x, rf"''({inner}]{{1,900}}?)''", f"{_OPEN}{_MARK}$1{_MARK}{_CLOSE}"))
-    c = _if_has(c, "「『", lambda x: _sub(_sub(x, rf"『({inner}『』]{{1,900}})』", f"{_NAME}$1{_MARK}"), rf"「({inner}「」]{{1,900}})」", f"{_OPEN}$1{_CLOSE}"))
+    c = _let(c, lambda x: F.when(x.contains("''"), _sub(x, rf"''({inner}]{{1,900}}?)''", f"{_OPEN}{_MARK}$1{_MARK}{_CLOSE}")).otherwise(x))
+    c = _if_has(c, "『", lambda x: _sub(x, rf"『({inner}『』]{{1,900}})』", f"{_NAME}$1{_MARK}"))
+    c = _if_has(c, "「", lambda x: _sub(x, rf"「({inner}「」]{{1,900}})」", f"{_OPEN}$1{_CLOSE}"))
     # what ends nothing inside quotations and brackets
     c = _if_has(c, _CLOSE, lambda x: _inside(x, _OPEN, _CLOSE))
     c = _if_has(c, "(", lambda x: _inside(x, "(", ")"))
@@ -232,20 +259,50 @@ def _inside(c: Column, open_: str, close: str) -> Column:
 def cut(c: Column) -> Column:
     """A cut mark behind each sentence of the masked text."""
     close = rf"[{_CLOSE}{_MARK})\]）」』\"'”’»“«]*"
-    start = rf"(?:[\p{{Lu}}\p{{Lt}}\p{{Lo}}\p{{N}}{_OPEN}{_NAME}(\[（¿¡☞£$€§«»„“”\"'‘]|[—–-][\s\u00a0]?[\p{{Lu}}¿¡])"
-    speck = r"(?:[|~·'*,•][\s\u00a0]+)?"
-    ahead = rf"(?=[\s\u00a0]+{speck}{start})"
-    c = _sub(c, rf"([.!?…।॥؟‼⁉]+{close}){ahead}", f"$1{_CUT}")
-    c = _sub(c, rf"([.!?](?<=(?:\p{{Ll}}{{2}}|[ap].m|½d)[.!?]))(?=\p{{Lu}}[\p{{Ll}}\s]|☞)", f"$1{_CUT}")
-    ends = rf"({_END}[\s\u00a0]?{_MARK}?{_CLOSE}[)\]]?){ahead}(?!{_SAID_AFTER}|{_SAID_CJK}|[\s\u00a0]+[{_THAI}])"
-    c = _if_has(c, _CLOSE, lambda x: _sub(x, ends, f"$1{_CUT}"))
-    c = _if_has(c, _END, lambda x: _sub(x, rf"({_END}[)）\]]){ahead}", f"$1{_CUT}"))
+    start = rf"(?:[\p{{Lu}}\p{{Lt}}\p{{Lo}}\p{{N}}{_OPEN}{_NAME}(\[（¿¡☞£$€§«»„“”\"'‘]|[—–-]\s?[\p{{Lu}}¿¡])"
+    ahead = rf"(?=\s+(?:[|~·'*,•]\s+)?{start})"
+    lost_blank = r"[.!?](?<=(?:\p{Ll}{2}|[ap].m|½d)[.!?])(?=\p{Lu}[\p{Ll}\s]|☞)"
+    c = _sub(c, rf"([.!?…।॥؟‼⁉]+{close}{ahead}|{lost_blank})", f"$1{_CUT}")
+    quoted = rf"({_END}\s?{_MARK}?{_CLOSE}[)\]]?{ahead}(?!{_SAID_AFTER}|{_SAID_CJK}|\s+[{_THAI}])|{_END}[)）\]]{ahead})"
+    c = _if_has(c, _END, lambda x: _sub(x, quoted, f"$1{_CUT}"))
     han = rf"[{_CJK}]"
-    c = _if_has(c, _CJK, lambda x: _sub(x, rf"([。！？｡]+{close})(?!{_CUT})", f"$1{_CUT}"))
-    c = _if_has(c, _CJK, lambda x: _sub(x, rf"([.!?](?<={han}[^{_PARA}]{{0,2}}[.!?])(?![.!?]){close})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（]))", f"$1{_CUT}"))
-    c = _if_has(c, _CJK, lambda x: _sub(x, rf"({_END}{_MARK}?{_CLOSE})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（{_MARK}\p{{N}}]))(?!{_SAID_CJK})", f"$1{_CUT}"))
-    c = _if_has(c, _THAI, lambda x: _sub(x, rf"([{_THAI}!?][ \t\u00a0]+)(?=\n?[{_THAI}])", f"$1{_CUT}"))
-    return _sub(c, _PARA, _CUT + _PARA)
+    full = rf"([。！？｡]+{close})(?!{_CUT})"
+    half = rf"([.!?](?<={han}[^{_PARA}]{{0,2}}[.!?])(?![.!?]){close})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（]))"
+    said = rf"({_END}{_MARK}?{_CLOSE})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（{_MARK}\p{{N}}]))(?!{_SAID_CJK})"
+    c = _if_has(c, _CJK, lambda x: _sub(_sub(_sub(x, full, f"$1{_CUT}"), half, f"$1{_CUT}"), said, f"$1{_CUT}"))
+    c = _if_has(c, _THAI, lambda x: _sub(x, rf"([{_THAI}!?][ \t]+)(?=\n?[{_THAI}])", f"$1{_CUT}"))
+    return F.replace(c, F.lit(_PARA), F.lit(_CUT + _PARA))
+
+
+def _spans(run: Column, shifts: Column) -> Column:
+    """(s, e) of each sentence of the running text, in places of the page's text; ``shifts`` has the way there for each line."""
+
+    def lines(c: Column) -> Column:
+        return F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))
+
+    blank = F.lit(f" \t\n{_PARA}{_GAP}")
+
+    def sizes(u: Column) -> Column:
+        def speckless(b: Column) -> Column:
+            speck = F.substring(b, 1, 2).rlike(r"^[|~·*•,'](?:\s|$)")
+            return F.when(speck, F.ltrim(F.substr(b, F.lit(2)), blank)).otherwise(b)
+
+        def measured(b: Column, t: Column) -> Column:
+            return F.struct(
+                F.length(u).alias("size"), (F.length(u) - F.length(b)).alias("lead"), F.length(t).alias("n"),
+                lines(u).alias("l"), (lines(u) - lines(b)).alias("l0"), lines(t).alias("l1"), t.rlike(r"[\p{L}\p{N}]").alias("ok"),
+            )
+
+        return _let(speckless(F.ltrim(u, blank)), lambda b: _let(F.rtrim(b, blank), lambda t: measured(b, t)))
+
+    def step(acc: Column, x: Column) -> Column:
+        at = acc["at"] + x["lead"]
+        span = F.struct((at + F.get(shifts, acc["line"] + x["l0"])).alias("s"), (at + x["n"] + F.get(shifts, acc["line"] + x["l0"] + x["l1"])).alias("e"))
+        return F.struct((acc["at"] + x["size"]).alias("at"), (acc["line"] + x["l"]).alias("line"), F.when(x["ok"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+
+    none = F.array().cast("array<struct<s:int,e:int>>")
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("line"), none.alias("out"))
+    return F.aggregate(F.transform(F.split(cut(mask(run)), _CUT), sizes), zero, step, lambda acc: acc["out"])
 
 
 def sentences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", boxes: str | None = "line_boxes") -> DataFrame:
@@ -259,26 +316,9 @@ def sentences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", boxes:
     Null, empty and blank texts, and rows with a null ``doc_id``, have no sentences. Of repeated rows of a doc_id, one counts.
     Texts are cut whole, however long. Rows are shuffled once, by doc_id; all windows and groups are within a page.
     """
-    lines = _running(page_lines(df, doc_id, text, boxes))
-    first = F.col("flow") + F.length("lead")
-    row = F.struct("i", F.concat("lead", "piece").alias("s"), first.alias("p"), (F.col("at") - first).alias("shift"))
-    pages = lines.groupBy("doc").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    pieces = F.split(cut(mask(F.array_join("rows.s", "\n"))), _CUT)
-    # lines, with the shift from the running text to the page's, and pieces of text go through the same two windows
-    none, no_text = F.lit(None).cast("int"), F.lit(None).cast("string")
-    items = F.concat(
-        F.transform("rows", lambda r: F.struct(F.lit(0).alias("t"), r["p"].alias("n"), r["shift"].alias("shift"), no_text.alias("u"))),
-        F.transform(pieces, lambda u, j: F.struct(F.lit(1).alias("t"), j.alias("n"), none.alias("shift"), u.alias("u"))),
-    )
-    items = pages.select("doc", F.explode(items).alias("x")).select("doc", "x.*")
-    before = F.sum(F.length("u")).over(Window.partitionBy("doc").orderBy("t", "n").rowsBetween(Window.unboundedPreceding, -1))
-    items = items.withColumn("b", F.coalesce(before, F.lit(0)).cast("int")).withColumn("body", F.regexp_extract("u", _BODY, 1))
-    items = items.where((F.col("t") == 0) | F.col("body").rlike(r"[\p{L}\p{N}]"))
-    start = F.col("b") + F.length(F.regexp_extract("u", _SKIP, 0))
-    ends = F.when(
-        F.col("t") == 0, F.array(F.struct(F.col("n").alias("p"), F.lit(-1).alias("side"), none.alias("unit")))
-    ).otherwise(F.array(F.struct(start.alias("p"), F.lit(0).alias("side"), F.col("b").alias("unit")), F.struct((start + F.length("body") - 1).alias("p"), F.lit(1).alias("side"), F.col("b").alias("unit"))))
-    placed = items.select("doc", "shift", F.explode(ends).alias("e")).select("doc", "shift", "e.*")
-    shift = F.last("shift", ignorenulls=True).over(Window.partitionBy("doc").orderBy("p", "side"))
-    placed = placed.withColumn("at", F.col("p") + shift).where(F.col("side") >= 0)
-    return placed.groupBy("doc", "unit").agg(F.min("at").alias("start_char"), (F.max("at") + 1).alias("end_char")).select(F.col("doc").alias(doc_id), "start_char", "end_char")
+    pages = page_lines(df, doc_id, text, boxes).select("doc", _running(F.col("rows")).alias("rows"))
+    flow = _starts(F.transform("rows", lambda r: F.length(r["lead"]) + F.length(r["piece"]) + 1), F.lit(0))
+    shifts = _let(flow, lambda f: F.transform("rows", lambda r, i: r["at"] - F.get(f, i) - F.length(r["lead"])))
+    run = F.array_join(F.transform("rows", lambda r: F.concat(r["lead"], r["piece"])), "\n")
+    spans = pages.select("doc", run.alias("run"), shifts.alias("shifts")).select("doc", F.explode(_spans(F.col("run"), F.col("shifts"))).alias("x"))
+    return spans.select(F.col("doc").alias(doc_id), F.col("x.s").alias("start_char"), F.col("x.e").alias("end_char"))
