@@ -61,12 +61,22 @@ def canonical_kmers(seq: Column, k: int) -> Column:
 
 
 def linguistic_entropy(seq: Column, k: int = 3) -> Column:
-    """Shannon entropy of the k-mers over its maximum for the length, 0 to 1; null for sequences shorter than k + 1."""
-    words = kmers(seq, k)
-    n = F.size(words)
-    counts = F.transform(F.array_distinct(words), lambda w: F.size(F.filter(words, lambda x: x == w)))
-    bits = F.aggregate(counts, F.lit(0.0), lambda a, c: a - (c / n) * F.log2(c / n))
-    return F.when(n >= 2, bits / F.log2(F.least(n, F.lit(4**k))))
+    """Shannon entropy of the k-mers over its maximum for the length, 0 to 1; null for sequences shorter than k + 1.
+
+    One pass over the sorted k-mers: ``n log2 n`` of each run of equal ones is subtracted from that of the whole.
+    """
+    words = F.array_sort(kmers(seq, k))
+    n = F.size(kmers(seq, k))
+
+    def bits(c: Column) -> Column:
+        return F.when(c > 0, c * F.log2(c)).otherwise(F.lit(0.0))
+
+    zero = F.struct(F.lit("").alias("w"), F.lit(0).alias("c"), F.lit(0.0).alias("s"))
+    step = lambda a, w: F.when(a["w"] == w, F.struct(w.alias("w"), (a["c"] + 1).alias("c"), a["s"].alias("s"))).otherwise(
+        F.struct(w.alias("w"), F.lit(1).alias("c"), (a["s"] + bits(a["c"])).alias("s"))
+    )
+    runs = F.aggregate(words, zero, step, lambda a: a["s"] + bits(a["c"]))
+    return F.when(n >= 2, (F.log2(n) - runs / n) / F.log2(F.least(n, F.lit(4**k))))
 
 
 def join_mates(fwd: Column, rev: Column) -> Column:

@@ -60,7 +60,8 @@ def mark_duplicates(df: DataFrame, read: str, genome: str, start: str, end: str,
         F.when(F.col("size") > 1, F.round((F.col("same") + F.coalesce("linked", F.lit(0))) / (F.col("size") * (F.col("size") - 1) / 2), 6)).otherwise(F.lit(1.0)).alias("pairwise_match_frac"),
     )
     groups = cut_lineage(groups)
-    marked = reads.withColumn("node", node).join(placed.select("node", "component"), F.col("node").eqNullSafe(placed.node)).join(groups.select("component", "exemplar"), "component")
+    named = placed.select("node", "component").join(groups.select("component", "exemplar"), "component").select("node.*", "exemplar").toDF("g", "l", "h", "exemplar")
+    marked = reads.join(named, (F.col("genome") == F.col("g")) & (F.col("lo") == F.col("l")) & F.col("hi").eqNullSafe(F.col("h")))
     return marked.select(F.col("read").alias(read), "exemplar"), groups.select("exemplar", "genome", "group_size", "pairwise_match_frac")
 
 

@@ -32,7 +32,7 @@ def latest_links(df: DataFrame, node: str, parent: str, version: str | None = No
 
 
 def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Parent chains within each fragment. ``steps`` are the nodes from behind the exit down to the node.
+    """Parent chains within each fragment. ``steps`` are the loads (paths) of the nodes from behind the exit down to the node.
 
     ``exit`` is the first ancestor outside the fragment, null at a root. Nodes on or below a loop
     that lies in the fragment get null steps.
@@ -52,7 +52,8 @@ def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             top[go] = np.where(top[top[go]] >= -1, top[top[go]], -1)
             hops *= 2
         loops = top >= 0
-        steps: list[list[int] | None] = [None] * len(node)
+        loads = f["load"].to_list()
+        steps: list[np.ndarray | None] = [None] * len(node)
         exits = np.full(len(node), -1, np.int64)
         out = np.zeros(len(node), bool)
         for i in range(len(node)):
@@ -65,9 +66,9 @@ def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if j >= 0:
                 path, e, o = steps[j], exits[j], out[j]
             else:
-                path, e, o = [], parent[chain[-1]], has[chain[-1]]
+                path, e, o = np.zeros(0, np.int64), parent[chain[-1]], has[chain[-1]]
             for j in reversed(chain):
-                path = [*path, int(node[j])]
+                path = np.concatenate([path, loads[j]])
                 steps[j], exits[j], out[j] = path, e, o
         ok = ~loops
         yield pd.DataFrame({
@@ -86,19 +87,19 @@ def _fragments(links: DataFrame, n: int, level: int, fragment_nodes: int) -> Dat
     count = max(1, math.ceil(n / fragment_nodes))
     spread = F.xxhash64("node", F.lit(level))
     if level == 0 or count == 1:
-        return links.withColumn("frag", F.pmod(spread, F.lit(count)))
+        return links.select(F.pmod(spread, F.lit(count)).alias("frag"), "node", "parent", "load")
     keyed = links.withColumn("meet", F.when(F.xxhash64("parent", F.lit(level)) < spread, F.col("parent")).otherwise(F.col("node")))
     crowded = keyed.groupBy("meet").count().where(F.col("count") > fragment_nodes // 4).select("meet", F.lit(True).alias("crowded"))
     return (
         keyed.join(F.broadcast(crowded), "meet", "left")  # at most 4 rows for each fragment of nodes
         .withColumn("frag", F.pmod(F.when(F.col("crowded"), spread).otherwise(F.xxhash64("meet", F.lit(level))), F.lit(count)))
-        .select("node", "parent", "frag")
+        .select("frag", "node", "parent", "load")
     )
 
 
 def _solve(links: DataFrame, n: int, level: int, fragment_nodes: int) -> DataFrame:
-    """(node, path): the path from the root down to the node; null where the way up never ends."""
-    parts = _fragments(links, n, level, fragment_nodes).select("frag", "node", "parent")
+    """(node, path): the loads of all nodes from the root down to the node, joined; null where the way up never ends."""
+    parts = _fragments(links, n, level, fragment_nodes)
 
     def by_fragment(f: pd.DataFrame) -> pd.DataFrame:
         return next(_contract(iter([f])))
@@ -109,11 +110,11 @@ def _solve(links: DataFrame, n: int, level: int, fragment_nodes: int) -> DataFra
     solved = cut_lineage(solved)
     # the quotient forest: the nodes at which chains leave their fragments, each linked to its own exit
     gates = solved.where(F.col("exit").isNotNull()).select(F.col("exit").alias("node")).distinct()
-    quotient = cut_lineage(solved.select("node", "exit", "steps").join(gates, "node", "left_semi").select("node", F.col("exit").alias("parent"), F.col("steps").isNull().alias("lost")))
-    m = quotient.count()
     # a gate that hangs on a loop inside its fragment is linked to itself: it stays on a loop
-    upper = _solve(quotient.select("node", F.when(F.col("lost"), F.col("node")).otherwise(F.col("parent")).alias("parent")), m, level + 1, fragment_nodes)
-    upper = upper.select(F.col("node").alias("exit"), F.col("path").alias("above"))
+    lost = F.col("steps").isNull()
+    quotient = cut_lineage(solved.join(gates, "node", "left_semi").select("node", F.when(lost, F.col("node")).otherwise(F.col("exit")).alias("parent"), F.coalesce("steps", F.array().cast("array<bigint>")).alias("load")))
+    m = quotient.count()
+    upper = _solve(quotient, m, level + 1, fragment_nodes).select(F.col("node").alias("exit"), F.col("path").alias("above"))
     own = solved.select("node", "exit", "steps")
     return own.join(broadcast_if_small(upper, m, 2_000), "exit", "left").select(
         "node",
@@ -127,11 +128,11 @@ def full_paths(links: DataFrame, fragment_nodes: int = FRAGMENT_NODES) -> DataFr
     ``path`` leads from the root to the node, both included; it is null for a node on or below a loop. A null parent
     makes a root. Nodes are spread over fragments; each fragment contracts its own parent chains to the exits
     that leave it. The exits, a smaller forest, are solved the same way with fewer fragments, until one fragment
-    holds them, and their paths are put before those of the fragments. Loops show in the fragment that holds them
+    holds them, each carrying its steps; their paths are put before those of the fragments. Loops show in the fragment that holds them
     whole, at some level. Empty input gives no rows.
     """
     links = cut_lineage(links.select("node", "parent"))
-    return _solve(links, links.count(), 0, fragment_nodes)
+    return _solve(links.withColumn("load", F.array("node")), links.count(), 0, fragment_nodes)
 
 
 def descendants(paths: DataFrame) -> DataFrame:

@@ -8,9 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
-    """The table's files as a stream, with the schema of what is there."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/{name}.parquet")
+    """The files of a table, one file or a folder of files, as a stream with the schema of what is there."""
+    batch = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    folder, _, file = batch.inputFiles()[0].rpartition("/")
+    inside = folder.endswith(f"{name}.parquet")
+    r = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", files_per_trigger)
+    return r.option("pathGlobFilter", "*.parquet" if inside else file).parquet(folder)
 
 
 def without_redelivered(rows: DataFrame, keys: list[str], event_time: str, lateness: str) -> DataFrame:
