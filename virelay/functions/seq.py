@@ -1,7 +1,9 @@
-"""Column expressions on reads, qualities, flags and scores; all run inside the JVM."""
+"""Column expressions on reads, qualities, flags and scores; all but the entropy run inside the JVM."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,8 +52,13 @@ def long_read_score(score: Column, length: Column) -> Column:
 
 def kmers(seq: Column, k: int) -> Column:
     """All k-mers in upper case, in order; none where the sequence is shorter. Null gives null."""
-    s = F.upper(seq)
-    return F.when(F.length(seq) >= k, F.transform(F.sequence(F.lit(1), F.length(seq) - k + 1), lambda i: F.substring(s, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+
+    def all_of(s: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.substring(s, i, F.lit(k)))
+
+    # the upper-case text is bound to a variable, else each k-mer would make it anew
+    words = F.get(F.transform(F.array(F.upper(seq)), all_of), F.lit(0))
+    return F.when(F.length(seq) >= k, words).when(seq.isNotNull(), F.array().cast("array<string>"))
 
 
 def canonical_kmers(seq: Column, k: int) -> Column:
@@ -63,20 +70,28 @@ def canonical_kmers(seq: Column, k: int) -> Column:
 def linguistic_entropy(seq: Column, k: int = 3) -> Column:
     """Shannon entropy of the k-mers over its maximum for the length, 0 to 1; null for sequences shorter than k + 1.
 
-    One pass over the sorted k-mers: ``n log2 n`` of each run of equal ones is subtracted from that of the whole.
+    Counts within a row have no built-in aggregate, so a batch's k-mers are counted together in numpy.
     """
-    words = F.array_sort(kmers(seq, k))
-    n = F.size(kmers(seq, k))
-
-    def bits(c: Column) -> Column:
-        return F.when(c > 0, c * F.log2(c)).otherwise(F.lit(0.0))
-
-    zero = F.struct(F.lit("").alias("w"), F.lit(0).alias("c"), F.lit(0.0).alias("s"))
-    step = lambda a, w: F.when(a["w"] == w, F.struct(w.alias("w"), (a["c"] + 1).alias("c"), a["s"].alias("s"))).otherwise(
-        F.struct(w.alias("w"), F.lit(1).alias("c"), (a["s"] + bits(a["c"])).alias("s"))
-    )
-    runs = F.aggregate(words, zero, step, lambda a: a["s"] + bits(a["c"]))
-    return F.when(n >= 2, (F.log2(n) - runs / n) / F.log2(F.least(n, F.lit(4**k))))
+
+    @F.pandas_udf("double")
+    def entropy(texts: pd.Series) -> pd.Series:
+        data = [(t or "").upper().encode("latin-1", "replace") for t in texts]
+        size = np.array([len(d) for d in data], np.int64)
+        b = np.frombuffer(b"".join(data), np.uint8).astype(np.int64)
+        n = np.maximum(size - k + 1, 0)
+        first = np.repeat(np.cumsum(size) - size, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        row = np.repeat(np.arange(len(data)), n)
+        code = row.copy()
+        for i in range(k):
+            code = (code << 8) | b[first + i]
+        _, at, count = np.unique(code, return_index=True, return_counts=True)
+        runs = np.bincount(row[at], weights=count * np.log2(count), minlength=len(data))
+        ok = n >= 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out = (np.log2(n) - runs / n) / np.log2(np.minimum(n, 4**k))
+        return pd.Series(np.where(ok, out, np.nan)).where(ok, None)
+
+    return entropy(seq)
 
 
 def join_mates(fwd: Column, rev: Column) -> Column:

@@ -49,7 +49,7 @@ def quality_by_sequence(reads: DataFrame, sample: str, qual: str) -> DataFrame:
 
 def joined_flags(stats: DataFrame, key: str, column: str, order: str) -> DataFrame:
     """The key's values of a text column, joined by ``/`` in ``order``: for few rows for each key, as the files of a sample."""
-    return stats.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, column))), lambda x: x[column]), "/").alias(column))
+    return stats.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, column))), lambda x: x[column]), "/").alias(column))
 
 
 def kmer_index(genomes: DataFrame, name: str, seq: str, k: int) -> DataFrame:
