@@ -22,6 +22,9 @@ _BLANK = r"\s"
 _TERMS = ".!?…。！？।॥؟‼⁉｡"
 _CJK = r"\u3005\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
 _THAI = r"ก-๏๚๛"
+# Line ends and blanks other than the usual ones; the last are rare.
+_LINE_ENDS, _BLANKS = "\r\v\f\x85\u2028\u2029", "\u00a0\u2009\u200b\u202f\u3000\ufeff"
+_RARE_BLANKS = "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u200a\u205f"
 _ORNAMENT = rf"^[{_BLANK}=~—–\-*·•_|#+]*$"
 
 # Abbreviations that a name, a number or more of the sentence follows.
@@ -123,26 +126,32 @@ def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> Data
     """(doc, rows): for each page an array of its non-blank lines and half lines (col, advert, k, at, txt, kind, caps) in reading order.
 
     ``at`` is a line's place in the page's text. ``kind`` is H(eadline), P(aragraph's first), B(ody) or A(dvert); ``caps`` marks
-    headlines and adverts in capitals; adverts come behind the body of their column. Pages whose boxes tell all are done within their row; only
-    pages with lines across columns, or without fitting boxes, go through _half_lines.
+    headlines and adverts in capitals; adverts come behind the body of their column. Pages are done within their row; only those with lines read across columns
+    go through _half_lines.
     """
     box = F.col(boxes) if boxes else F.lit(None).cast("array<struct<x0:int,y0:int,x1:int,y1:int,conf:float>>")
     docs = df.select(F.col(doc_id).alias("doc"), F.col(text).alias("t"), F.transform(box, lambda b: F.struct(b["x0"].alias("x0"), b["x1"].alias("x1"))).alias("boxes"))
-    # one mark for all line ends and one for all blanks, a character for a character
-    ends, blanks = "\r\v\f\x85\u2028\u2029", "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u202f\u205f\u3000\ufeff"
-    plain = F.when(F.col("t").rlike(f"[{ends}{blanks}]"), F.translate("t", ends + blanks, "\n" * len(ends) + " " * len(blanks))).otherwise(F.col("t"))
-    docs = docs.where(F.col("doc").isNotNull() & F.col("t").isNotNull()).withColumn("t", plain).where(F.col("t").rlike(r"\S"))
-    one = docs.withColumn("n", F.row_number().over(Window.partitionBy("doc").orderBy("t"))).where("n = 1")
-    one = one.select("doc", "boxes", F.split("t", r"(?<=\n)(?=[ \t]*\S)").alias("parts"))
-    blank_first = F.trim(F.get("parts", F.lit(0)), F.lit(" \t\n")) == ""
-    one = one.select(
-        "doc", "boxes",
-        F.when(blank_first, F.length(F.get("parts", F.lit(0)))).otherwise(0).alias("from"),
-        F.when(blank_first, F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))).otherwise(F.col("parts")).alias("parts"),
-    )
-    fits = F.size("parts") == F.coalesce(F.size("boxes"), F.lit(-1))
-    one = one.select("doc", F.when(fits, F.col("boxes")).alias("boxes"), "parts", _starts(F.transform("parts", F.length), F.col("from")).alias("starts"))
-    known = F.coalesce(F.forall("boxes", lambda b: b["x1"] - b["x0"] <= WIDE), F.lit(False))
+    docs = docs.where(F.col("doc").isNotNull() & F.col("t").isNotNull() & F.col("t").rlike(r"\S"))
+    one = docs.withColumn("n", F.row_number().over(Window.partitionBy("doc").orderBy("t"))).where("n = 1").select("doc", "t", "boxes")
+    # one mark for all line ends and one for all blanks, a character for a character; rare ones only where there are any
+    plain = F.when(F.col("t").rlike(r"[\u1680\u2000-\u200a\u205f]"), F.translate("t", _RARE_BLANKS, " " * len(_RARE_BLANKS))).otherwise(F.col("t"))
+    for marks, to in ((_LINE_ENDS, "\n"), (_BLANKS, " ")):
+        for m in marks:
+            plain = F.replace(plain, F.lit(m), F.lit(to))
+
+    def parted(pages: DataFrame) -> DataFrame:
+        """Lines with what blank lines follow them, where they start, and the boxes if there is one for each."""
+        p = pages.select("doc", "boxes", F.split(plain, r"(?<=\n)(?=[ \t]*\S)").alias("parts"))
+        blank_first = F.trim(F.get("parts", F.lit(0)), F.lit(" \t\n")) == ""
+        p = p.select(
+            "doc", "boxes",
+            F.when(blank_first, F.length(F.get("parts", F.lit(0)))).otherwise(0).alias("from"),
+            F.when(blank_first, F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))).otherwise(F.col("parts")).alias("parts"),
+        )
+        fits = F.size("parts") == F.coalesce(F.size("boxes"), F.lit(-1))
+        return p.select("doc", F.when(fits, F.col("boxes")).alias("boxes"), "parts", _starts(F.transform("parts", F.length), F.col("from")).alias("starts"))
+
+    across = F.coalesce(F.exists("boxes", lambda b: b["x1"] - b["x0"] > WIDE), F.lit(False))
 
     def column_of(x0: Column) -> Column:
         return F.coalesce(F.floor((x0 - COLUMN_LEFT + 50) / COLUMN_PITCH), F.lit(0)).cast("int")
@@ -157,12 +166,19 @@ def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> Data
     def row(k: Column, at: Column, txt: Column, kind: Column, col: Column, caps: Column) -> Column:
         return F.struct(col.alias("col"), (kind == "A").cast("int").alias("advert"), k.cast("int").alias("k"), at.cast("int").alias("at"), txt.alias("txt"), kind.alias("kind"), caps.alias("caps"))
 
-    def told_row(part: Column, i: Column) -> Column:
-        x0 = F.get("boxes", i)["x0"]
-        return _let(F.struct(line_of(part).alias("txt"), kind_of(x0).alias("kind")), lambda v: row(i, F.get("starts", i), v["txt"], v["kind"], column_of(x0), F.when(v["kind"].isin("A", "H"), _capitals(v["txt"])).otherwise(F.lit(False))))
+    def told_rows(v: Column) -> Column:
+        def told_row(part: Column, i: Column) -> Column:
+            x0 = F.get(v["boxes"], i)["x0"]
+            after_blank = (i == 0) | F.get(v["parts"], i - 1).rlike(r"\n[ \t]*\n")
+            bare = F.when(_capitals(line_of(part)), "H").when(after_blank, "P").otherwise("B")
+            kind = F.when(v["boxes"].isNull(), bare).otherwise(kind_of(x0))
+            return _let(F.struct(line_of(part).alias("txt"), kind.alias("kind")), lambda w: row(i, F.get(v["starts"], i), w["txt"], w["kind"], column_of(x0), F.when(w["kind"].isin("A", "H"), _capitals(w["txt"])).otherwise(F.lit(False))))
+
+        return F.sort_array(F.filter(F.transform(v["parts"], told_row), lambda r: ~r["txt"].rlike(_ORNAMENT)))
 
-    told = one.where(known).select("doc", F.array_sort(F.filter(F.transform("parts", told_row), lambda r: ~r["txt"].rlike(_ORNAMENT))).alias("rows"))
-    other = one.where(~known).select("doc", F.posexplode(F.arrays_zip("parts", F.coalesce("boxes", F.array().cast("array<struct<x0:int,x1:int>>")).alias("boxes"), F.slice("starts", F.lit(1), F.size("parts")).alias("starts"))).alias("k", "z"))
+    # bound to a variable, or the optimizer would put what makes the arrays into the lambda, for every line
+    told = parted(one.where(~across)).select("doc", _let(F.struct("parts", "starts", "boxes"), told_rows).alias("rows"))
+    other = parted(one.where(across)).select("doc", F.posexplode(F.arrays_zip("parts", F.coalesce("boxes", F.array().cast("array<struct<x0:int,x1:int>>")).alias("boxes"), F.slice("starts", F.lit(1), F.size("parts")).alias("starts"))).alias("k", "z"))
     x0 = F.col("z.boxes.x0")
     by_k = Window.partitionBy("doc").orderBy("k")
     other = other.select(
@@ -171,7 +187,7 @@ def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> Data
         F.coalesce(F.lag(F.col("z.parts").rlike(r"\n[ \t]*\n")).over(by_k), F.lit(True)).alias("after_blank"),
     )
     halves = _half_lines(other)
-    halves = halves.groupBy("doc").agg(F.array_sort(F.collect_list(row(F.col("k"), F.col("at"), F.col("txt"), F.col("kind"), F.col("col"), F.coalesce("caps", F.lit(False))))).alias("rows"))
+    halves = halves.groupBy("doc").agg(F.sort_array(F.collect_list(row(F.col("k"), F.col("at"), F.col("txt"), F.col("kind"), F.col("col"), F.coalesce("caps", F.lit(False))))).alias("rows"))
     return told.unionByName(halves)
 
 
@@ -269,7 +285,7 @@ def cut(c: Column) -> Column:
     full = rf"([。！？｡]+{close})(?!{_CUT})"
     half = rf"([.!?](?<={han}[^{_PARA}]{{0,2}}[.!?])(?![.!?]){close})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（]))"
     said = rf"({_END}{_MARK}?{_CLOSE})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（{_MARK}\p{{N}}]))(?!{_SAID_CJK})"
-    c = _if_has(c, _CJK, lambda x: _sub(_sub(_sub(x, full, f"$1{_CUT}"), half, f"$1{_CUT}"), said, f"$1{_CUT}"))
+    c = _if_has(c, r"\u3041-\u9fff", lambda x: _sub(_sub(_sub(x, full, f"$1{_CUT}"), half, f"$1{_CUT}"), said, f"$1{_CUT}"))
     c = _if_has(c, _THAI, lambda x: _sub(x, rf"([{_THAI}!?][ \t]+)(?=\n?[{_THAI}])", f"$1{_CUT}"))
     return F.replace(c, F.lit(_PARA), F.lit(_CUT + _PARA))
 
@@ -316,9 +332,13 @@ def sentences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", boxes:
     Null, empty and blank texts, and rows with a null ``doc_id``, have no sentences. Of repeated rows of a doc_id, one counts.
     Texts are cut whole, however long. Rows are shuffled once, by doc_id; all windows and groups are within a page.
     """
-    pages = page_lines(df, doc_id, text, boxes).select("doc", _running(F.col("rows")).alias("rows"))
-    flow = _starts(F.transform("rows", lambda r: F.length(r["lead"]) + F.length(r["piece"]) + 1), F.lit(0))
-    shifts = _let(flow, lambda f: F.transform("rows", lambda r, i: r["at"] - F.get(f, i) - F.length(r["lead"])))
-    run = F.array_join(F.transform("rows", lambda r: F.concat(r["lead"], r["piece"])), "\n")
-    spans = pages.select("doc", run.alias("run"), shifts.alias("shifts")).select("doc", F.explode(_spans(F.col("run"), F.col("shifts"))).alias("x"))
+    pages = page_lines(df, doc_id, text, boxes).select("doc", _let(F.col("rows"), _running).alias("rows"))
+
+    def flowing(rows: Column) -> Column:
+        flow = _starts(F.transform(rows, lambda r: F.length(r["lead"]) + F.length(r["piece"]) + 1), F.lit(0))
+        shifts = _let(flow, lambda f: F.transform(rows, lambda r, i: r["at"] - F.get(f, i) - F.length(r["lead"])))
+        run = F.array_join(F.transform(rows, lambda r: F.concat(r["lead"], r["piece"])), "\n")
+        return _let(shifts, lambda s: _spans(run, s))
+
+    spans = pages.select("doc", F.explode(_let(F.col("rows"), flowing)).alias("x"))
     return spans.select(F.col("doc").alias(doc_id), F.col("x.s").alias("start_char"), F.col("x.e").alias("end_char"))
