@@ -258,6 +258,40 @@ def test_reads_and_compare(spark, rows):
     assert spark.range(1).select(compare.last_reason([(F.lit(True), "a"), (F.lit(True), "b"), (F.lit(False), "c")], "d")).first()[0] == "b"
 
 
+def test_small_filters(spark, tmp_path, rows):
+    f = spark.createDataFrame([("s1 a Phage", "AC", 2), ("s1 b", "ACGT", 1), (None, "A", 3)], "h string, seq string, o int")
+    assert rows(reads.without_headers_like(f, "h", ["phage", "xyz"]).select("o")) == [(1,), (3,)]
+    assert rows(reads.between_lengths(f, "seq", 2, 3).select("o")) == [(2,)]
+    assert rows(reads.first_by_name(f.withColumn("n", F.substring("h", 1, 2)), "n", ["o"]).select("o")) == [(1,), (3,)]
+    pairs = spark.createDataFrame([("r", "A", "I", "C", "J")], "seq_id string, seq string, qual string, seq_rev string, qual_rev string")
+    assert rows(reads.interleaved(pairs)) == [("r", 1, "A", "I"), ("r", 2, "C", "J")]
+    (tmp_path / "a.sam").write_text(SAM)
+    mapped, unmapped = align.split_mapped(readers.read_sam(spark, str(tmp_path / "a.sam")))
+    assert (mapped.count(), unmapped.count()) == (4, 0)
+
+
+def test_streams(spark, tmp_path, rows):
+    from virelay.streaming import incremental
+
+    t = spark.sql("SELECT * FROM VALUES ('a', 1, timestamp'2025-01-01 01:00:00'), ('a', 1, timestamp'2025-01-01 01:00:00'), ('b', 2, timestamp'2025-01-02 01:00:00') AS t(k, v, at)")
+    t.write.parquet(str(tmp_path / "t.parquet"))
+    once = incremental.without_redelivered(incremental.stream_table(spark, str(tmp_path), "t"), ["k", "v"], "at", "1 day")
+    incremental.write_available(once, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("k", "v")) == [("a", 1), ("b", 2)]
+
+
+def test_workflow_of_validation(spark, paths, rows):
+    hits = spark.createDataFrame([("a", 9005), ("b", 9006)], "seq_id string, aligner_taxid_lca long")
+    members = spark.createDataFrame([("a", "a"), ("b", "a")], "seq_id string, vsearch_cluster_rep_id string")
+    lca = spark.createDataFrame([("a", 9007)], "seq_id string, validation_lca long")
+    got = workflows.validate_hits(hits, members, lca, paths)
+    assert rows(got.select("seq_id", "validation_distance_aligner", "validation_distance_validation")) == [("a", 2, 1), ("b", 2, 1)]
+    search = spark.createDataFrame([("q", "s1", 9005, 100.0, 50, 1), ("q", "s1", 9005, 90.0, 60, 2), ("q", "s2", 9006, 95.0, 50, 3), ("q", "s3", 8001, 50.0, 50, 4)], "qseqid string, sseqid string, staxid long, bitscore double, length int, ordinal int")
+    assert workflows.search_lca(search, paths).first().taxid_lca == 9004
+    db = spark.createDataFrame([(9005, 9004), (9006, None)], "taxid long, taxid_species long")
+    assert rows(workflows.by_species(hits, db).select("seq_id", "selected_taxid")) == [("a", 9004), ("b", 9006)]
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as e
 

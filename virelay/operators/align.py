@@ -113,3 +113,9 @@ def primary_with_lca(lca: DataFrame, alignments: DataFrame, prefix: str = "prim_
     """The aggregate of each read beside its primary alignment, whose columns but seq_id get the prefix. One exchange, no sorts of its own."""
     prim = alignments.where("classification = 'primary'").drop("classification")
     return lca.join(prim.toDF(*[c if c == "seq_id" else prefix + c for c in prim.columns]), "seq_id")
+
+
+def split_mapped(sam: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(mapped, unmapped): rows of pairs of which both mates are unmapped are the second table."""
+    neither = sq.flag_set(F.col("flag"), sq.UNMAPPED) & (sq.flag_set(F.col("flag"), sq.MATE_UNMAPPED) | ~sq.flag_set(F.col("flag"), sq.PAIRED))
+    return sam.where(~neither), sam.where(neither)

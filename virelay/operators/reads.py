@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from virelay.functions import seq as sq
+from virelay.operators.relops import distinct_on
 
 
 def read_counts(reads: DataFrame, sample: str, paired: bool) -> DataFrame:
@@ -92,3 +93,26 @@ def screen_genomes(metadata: DataFrame, infecting: DataFrame, assembly_status: s
     long = cur.select("*", F.explode(F.array_distinct(F.array("taxid", "species_taxid"))).alias("__t"))
     hit = long.join(keep, "__t", "left_semi").drop("__t")
     return hit.dropDuplicates()
+
+
+def without_headers_like(fasta: DataFrame, header: str, patterns: list[str]) -> DataFrame:
+    """Sequences whose header has none of the patterns, in any case; a null header stays."""
+    bad = F.col(header).rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns)) if patterns else F.lit(False)
+    return fasta.where(~F.coalesce(bad, F.lit(False)))
+
+
+def between_lengths(reads: DataFrame, seq: str, shortest: int, longest: int, qual: str | None = None, least_quality: float = 0.0) -> DataFrame:
+    """Reads within the lengths and, with qualities, of at least the mean quality."""
+    kept = reads.where(F.length(seq).between(shortest, longest))
+    return kept if qual is None else kept.where(sq.mean_phred(F.col(qual)) >= least_quality)
+
+
+def first_by_name(fasta: DataFrame, name: str, order: list[str]) -> DataFrame:
+    """One sequence of each name, the first by ``order``."""
+    return distinct_on(fasta, [name], [F.col(c) for c in order])
+
+
+def interleaved(pairs: DataFrame) -> DataFrame:
+    """(seq_id, mate, seq, qual): two rows for each pair of pair_mates."""
+    mates = F.array(F.struct(F.lit(1).alias("mate"), "seq", "qual"), F.struct(F.lit(2).alias("mate"), F.col("seq_rev").alias("seq"), F.col("qual_rev").alias("qual")))
+    return pairs.select("seq_id", F.explode(mates).alias("m")).select("seq_id", "m.*")

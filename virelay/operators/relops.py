@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from virelay.session import cut_lineage
+
 
 class TableError(ValueError):
     """A table isn't what an operator needs."""
@@ -161,16 +163,13 @@ def chunk_rows(df: DataFrame, size: int, order: Sequence[str]) -> DataFrame:
     if size < 1:
         raise TableError("a chunk needs a size of at least 1")
     sorted_ = df.orderBy(*order).withColumn("__part", F.spark_partition_id())
-    spark = df.sparkSession
-    from virelay.session import cut_lineage
-
     sorted_ = cut_lineage(sorted_)
     counts = sorted(sorted_.groupBy("__part").count().collect())
     before, rows = 0, []
     for part, n in counts:
         rows.append((part, before))
         before += n
-    offsets = spark.createDataFrame(rows or [(0, 0)], "__part int, __before long")
+    offsets = df.sparkSession.createDataFrame(rows or [(0, 0)], "__part int, __before long")
     w = Window.partitionBy("__part").orderBy(*order)
     numbered = sorted_.withColumn("__n", F.row_number().over(w)).join(F.broadcast(offsets), "__part")
     return numbered.withColumn("chunk", (F.floor((F.col("__before") + F.col("__n") - 1) / size) + 1).cast("bigint")).select(*df.columns, "chunk")
