@@ -230,6 +230,7 @@ def mask(c: Column) -> Column:
         rf"(?<={word}(?:{titles})\.)(?=[\s\p{{L}}])",
         rf"(?<={word}St\.)(?=\s)(?<!\p{{N}}\s\p{{L}}{{1,24}}\sSt\.)",  # a saint, not a street with a number
         rf"(?<=\p{{N}}\.)(?=\s+(?:{_ORDINAL}))",
+        rf"(?<={word}[AaIi]m\s\p{{N}}{{1,2}}\.)(?=\s)",
         r"(?=\s+[½¼¾⅓⅔⅛])",
         r"(?<=(?i:str|straße|strasse)\.)(?=\s+\p{N})",
         rf"(?<=[{_THAI}]\.)",
