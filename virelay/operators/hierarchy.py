@@ -129,10 +129,11 @@ def full_paths(links: DataFrame, fragment_nodes: int = FRAGMENT_NODES) -> DataFr
     makes a root. Nodes are spread over fragments; each fragment contracts its own parent chains to the exits
     that leave it. The exits, a smaller forest, are solved the same way with fewer fragments, until one fragment
     holds them, each carrying its steps; their paths are put before those of the fragments. Loops show in the fragment that holds them
-    whole, at some level. Empty input gives no rows.
+    whole, at some level. Empty input gives no rows. The result is checkpointed, as trees are used
+    again and again.
     """
     links = cut_lineage(links.select("node", "parent"))
-    return _solve(links.withColumn("load", F.array("node")), links.count(), 0, fragment_nodes)
+    return cut_lineage(_solve(links.withColumn("load", F.array("node")), links.count(), 0, fragment_nodes))
 
 
 def descendants(paths: DataFrame) -> DataFrame:
@@ -151,7 +152,7 @@ def hierarchy(links: DataFrame, fragment_nodes: int = FRAGMENT_NODES) -> DataFra
     Depth is 0 for a root. A node on or below a loop has root, depth and n_descendants -1 and an empty path. Descendants are
     counted in the tasks first, so a root above most nodes costs one partial count for each task.
     """
-    paths = cut_lineage(full_paths(links, fragment_nodes))
+    paths = full_paths(links, fragment_nodes)
     below = descendants(paths).groupBy(F.col("ancestor").alias("node")).agg(F.count(F.lit(1)).alias("n"))
     lost = F.col("path").isNull()
     return paths.join(below, "node", "left").select(

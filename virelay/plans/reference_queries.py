@@ -222,11 +222,11 @@ def index_changes(spark: SparkSession, d: str) -> DataFrame:
     return compare.changed_keys(old, new, "taxid")
 
 
-def status_transitions(spark: SparkSession, d: str) -> DataFrame:
+def parent_transitions(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "test_virus_db").where("taxid IS NOT NULL")
     first = relops.distinct_on(v, ["taxid"], [F.col("loaded_at"), F.col("expected_status_jabberwocks"), F.col("parent_taxid")])
     last = v.groupBy("taxid").agg(F.max(F.struct("loaded_at", "expected_status_jabberwocks", "parent_taxid")).alias("m")).select("taxid", "m.*")
-    return compare.transitions(first, last, "taxid", "expected_status_jabberwocks")
+    return compare.transitions(first, last, "taxid", "parent_taxid")
 
 
 def species_deltas(spark: SparkSession, d: str) -> DataFrame:
@@ -278,7 +278,7 @@ QUERIES = {
     for f in (
         clade_counts, lca_by_read, taxid_distance, raise_rank, infection_status, nearest_marked, duplicate_reads, duplicate_groups, top_duplicate_groups, rank_fraction,
         best_per_pair, join_strict, join_semi, join_anti, projections, filter_value, union_headers, unique_rows, chunks, missing_hosts, read_counts, qc_basic, qc_lengths,
-        qc_quality_by_base, qc_quality_by_read, strand_sequences, kmer_screen, low_complexity, index_changes, status_transitions, species_deltas, metric_changes,
+        qc_quality_by_base, qc_quality_by_read, strand_sequences, kmer_screen, low_complexity, index_changes, parent_transitions, species_deltas, metric_changes,
         schema_violations, fastq_records, group_json, annotated_hits, streamed_counts,
     )
 }
@@ -376,7 +376,7 @@ ORACLE = {
     "qc_quality_by_read": f"SELECT sample, CAST(floor(CASE WHEN length(query_qual) > 0 THEN list_avg({_PHRED}) ELSE 0 END) AS BIGINT) mean_phred_score, count(*) n_sequences FROM tab_minimap WHERE query_qual IS NOT NULL GROUP BY ALL",
     "strand_sequences": f"SELECT row_no, CASE WHEN query_rc THEN {_RC} ELSE query_seq END read_seq, round(CASE WHEN query_len <= 1 THEN 0 ELSE best_alignment_score / ln(query_len) END, 6) score, round(CASE WHEN length(query_qual) > 0 THEN list_avg({_PHRED}) ELSE 0 END, 6) mean_phred FROM tab_minimap WHERE query_seq IS NOT NULL",
     "index_changes": f"WITH a AS ({_at('2025-01-01')}), b AS ({_at('2025-07-01')}) SELECT taxid, 'lost' change FROM a WHERE taxid NOT IN (SELECT taxid FROM b) UNION ALL SELECT taxid, 'gained' FROM b WHERE taxid NOT IN (SELECT taxid FROM a)",
-    "status_transitions": """WITH v AS (SELECT taxid, first(expected_status_jabberwocks ORDER BY loaded_at, expected_status_jabberwocks NULLS FIRST, parent_taxid NULLS FIRST) o, first(expected_status_jabberwocks ORDER BY loaded_at DESC, expected_status_jabberwocks DESC NULLS LAST, parent_taxid DESC NULLS LAST) n FROM test_virus_db WHERE taxid IS NOT NULL GROUP BY taxid)
+    "parent_transitions": """WITH v AS (SELECT taxid, first(parent_taxid ORDER BY loaded_at, expected_status_jabberwocks NULLS FIRST, parent_taxid NULLS FIRST) o, first(parent_taxid ORDER BY loaded_at DESC, expected_status_jabberwocks DESC NULLS LAST, parent_taxid DESC NULLS LAST) n FROM test_virus_db WHERE taxid IS NOT NULL GROUP BY taxid)
       SELECT o old_value, n new_value, count(*) n FROM v WHERE o IS DISTINCT FROM n GROUP BY ALL""",
     "species_deltas": "SELECT genome_id, n_old, n_new, n_new - n_old delta FROM (SELECT genome_id, count(*) FILTER (WHERE aligned_at < TIMESTAMP '2025-07-01') n_old, count(*) FILTER (WHERE aligned_at >= TIMESTAMP '2025-07-01') n_new FROM tab_minimap WHERE genome_id IS NOT NULL GROUP BY genome_id) WHERE n_new <> n_old",
     "metric_changes": f"WITH a AS ({_metric_sql(chr(39).join(['sequenced_at < TIMESTAMP ', '2025-07-01', '']))}), b AS ({_metric_sql(chr(39).join(['sequenced_at >= TIMESTAMP ', '2025-07-01', '']))}) SELECT metric, a.v \"old\", b.v \"new\", b.v - a.v delta, CASE WHEN a.v <> 0 THEN round((b.v - a.v) / a.v * 100, 2) END pct_change FROM a JOIN b USING (metric)",
