@@ -139,6 +139,9 @@ def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> Data
         for m in marks:
             plain = F.replace(plain, F.lit(m), F.lit(to))
 
+    odd = (F.octet_length("t") > F.length("t")) | F.col("t").contains("\r") | F.col("t").contains("\f") | F.col("t").contains("\v")
+    plain = F.when(odd, plain).otherwise(F.col("t"))
+
     def parted(pages: DataFrame) -> DataFrame:
         """Lines with what blank lines follow them, where they start, and the boxes if there is one for each."""
         p = pages.select("doc", "boxes", F.split(plain, r"(?<=\n)(?=[ \t]*\S)").alias("parts"))
@@ -279,7 +282,9 @@ def cut(c: Column) -> Column:
     start = rf"(?:[\p{{Lu}}\p{{Lt}}\p{{Lo}}\p{{N}}{_OPEN}{_NAME}(\[（¿¡☞£$€§«»„“”\"'‘]|[—–-]\s?[\p{{Lu}}¿¡])"
     ahead = rf"(?=\s+(?:[|~·'*,•]\s+)?{start})"
     lost_blank = r"[.!?](?<=(?:\p{Ll}{2}|[ap].m|½d)[.!?])(?=\p{Lu}[\p{Ll}\s]|☞)"
-    c = _sub(c, rf"([.!?…।॥؟‼⁉]+{close}{ahead}|{lost_blank})", f"$1{_CUT}")
+    others = "…।॥؟‼⁉"
+    c = _if_has(c, r"\u0600-\u2050", lambda x: F.when(x.rlike(f"[{others}]"), F.translate(x, others, "!" * len(others))).otherwise(x))
+    c = _sub(c, rf"([.!?]+{close}{ahead}|{lost_blank})", f"$1{_CUT}")
     quoted = rf"({_END}\s?{_MARK}?{_CLOSE}[)\]]?{ahead}(?!{_SAID_AFTER}|{_SAID_CJK}|\s+[{_THAI}])|{_END}[)）\]]{ahead})"
     c = _if_has(c, _END, lambda x: _sub(x, quoted, f"$1{_CUT}"))
     han = rf"[{_CJK}]"
@@ -287,7 +292,7 @@ def cut(c: Column) -> Column:
     half = rf"([.!?](?<={han}[^{_PARA}]{{0,2}}[.!?])(?![.!?]){close})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（]))"
     said = rf"({_END}{_MARK}?{_CLOSE})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（{_MARK}\p{{N}}]))(?!{_SAID_CJK})"
     c = _if_has(c, r"\u3041-\u9fff", lambda x: _sub(_sub(_sub(x, full, f"$1{_CUT}"), half, f"$1{_CUT}"), said, f"$1{_CUT}"))
-    c = _if_has(c, _THAI, lambda x: _sub(x, rf"([{_THAI}!?][ \t]+)(?=\n?[{_THAI}])", f"$1{_CUT}"))
+    c = _if_has(c, r"\u0e01-\u0e5b", lambda x: _sub(x, rf"([{_THAI}!?][ \t]+)(?=\n?[{_THAI}])", f"$1{_CUT}"))
     return F.replace(c, F.lit(_PARA), F.lit(_CUT + _PARA))
 
 
