@@ -119,7 +119,7 @@ def _half_lines(rows: DataFrame) -> DataFrame:
 
 def _starts(sizes: Column, first: Column) -> Column:
     """Where each of consecutive pieces starts, and where the last ends."""
-    return F.aggregate(sizes, F.array(first), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    return F.aggregate(sizes, F.array(first), lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n))
 
 
 def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> DataFrame:
@@ -320,7 +320,7 @@ def _spans(run: Column, shifts: Column) -> Column:
     def step(acc: Column, x: Column) -> Column:
         at = acc["at"] + x["lead"]
         span = F.struct((at + F.get(shifts, acc["line"] + x["l0"])).alias("s"), (at + x["n"] + F.get(shifts, acc["line"] + x["l0"] + x["l1"])).alias("e"))
-        return F.struct((acc["at"] + x["size"]).alias("at"), (acc["line"] + x["l"]).alias("line"), F.when(x["ok"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        return F.struct((acc["at"] + x["size"]).alias("at"), (acc["line"] + x["l"]).alias("line"), F.when(x["ok"], F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
     none = F.array().cast("array<struct<s:int,e:int>>")
     zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("line"), none.alias("out"))
