@@ -59,6 +59,15 @@ def taxid_distance(spark: SparkSession, d: str) -> DataFrame:
     return tree.taxid_distance(a.join(b, "row_no"), "taxid_1", "taxid_2", hierarchy.full_paths(_links(spark, d)))
 
 
+def taxid_distance_reads(spark: SparkSession, d: str) -> DataFrame:
+    """Each alignment's taxid against the ancestor of its read; all rows of tab_minimap, those without a read or taxid too."""
+    paths = hierarchy.full_paths(_links(spark, d))
+    t = table(spark, d, "tab_minimap").select("row_no", "seq_id", "taxid", "best_alignment_score")
+    lca = tree.lca_by_group(t, "seq_id", "taxid", "best_alignment_score", "row_no", paths, _unclassified(spark, d, paths), ARTIFICIAL).select("seq_id", "taxid_lca")
+    pairs = t.join(lca, "seq_id", "left").select("row_no", F.col("taxid").alias("taxid_1"), F.col("taxid_lca").alias("taxid_2"))
+    return tree.taxid_distance(pairs, "taxid_1", "taxid_2", paths)
+
+
 def _trade_links(spark: SparkSession, d: str) -> DataFrame:
     """Root 1, regions from 10, nations from 1000, customers from 1000000."""
     region = table(spark, d, "region").select((F.col("r_regionkey") + 10).cast("bigint").alias("node"), F.lit(1).cast("bigint").alias("parent"), F.lit("family").alias("rank"))
@@ -276,7 +285,7 @@ def streamed_counts(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        clade_counts, lca_by_read, taxid_distance, raise_rank, infection_status, nearest_marked, duplicate_reads, duplicate_groups, top_duplicate_groups, rank_fraction,
+        clade_counts, lca_by_read, taxid_distance, taxid_distance_reads, raise_rank, infection_status, nearest_marked, duplicate_reads, duplicate_groups, top_duplicate_groups, rank_fraction,
         best_per_pair, join_strict, join_semi, join_anti, projections, filter_value, union_headers, unique_rows, chunks, missing_hosts, read_counts, qc_basic, qc_lengths,
         qc_quality_by_base, qc_quality_by_read, strand_sequences, kmer_screen, low_complexity, index_changes, parent_transitions, species_deltas, metric_changes,
         schema_violations, fastq_records, group_json, annotated_hits, streamed_counts,
@@ -349,6 +358,10 @@ ORACLE = {
       j AS (SELECT a.row_no, a.taxid taxid_1, b.virus_tax_id taxid_2, x.path p1, y.path p2 FROM tab_minimap a JOIN test_infection_db b USING (row_no) LEFT JOIN tree x ON x.taxid = a.taxid LEFT JOIN tree y ON y.taxid = b.virus_tax_id),
       s AS (SELECT *, len([v for v in p1 if list_contains(p2, v)]) k FROM j)
       SELECT row_no, taxid_1, taxid_2, CASE WHEN k > 0 THEN CAST(len(p1) - k AS INT) END distance_1, CASE WHEN k > 0 THEN CAST(len(p2) - k AS INT) END distance_2 FROM s""",
+    "taxid_distance_reads": f"""WITH RECURSIVE {_LATEST}, {_lca_sql(_ROWS, _UNC)},
+      j AS (SELECT a.row_no, a.taxid taxid_1, b.taxid_lca taxid_2, x.path p1, y.path p2 FROM tab_minimap a LEFT JOIN lca b USING (seq_id) LEFT JOIN tree x ON x.taxid = a.taxid LEFT JOIN tree y ON y.taxid = b.taxid_lca),
+      s AS (SELECT *, len([v for v in p1 if list_contains(p2, v)]) k FROM j)
+      SELECT row_no, taxid_1, taxid_2, CASE WHEN k > 0 THEN CAST(len(p1) - k AS INT) END distance_1, CASE WHEN k > 0 THEN CAST(len(p2) - k AS INT) END distance_2 FROM s""",
     "raise_rank": "SELECT 1::BIGINT node, NULL::BIGINT raised UNION ALL SELECT r_regionkey + 10, NULL FROM region UNION ALL SELECT n_nationkey + 1000, n_nationkey + 1000 FROM nation UNION ALL SELECT c_custkey + 1000000, c_nationkey + 1000 FROM customer",
     "nearest_marked": f"""WITH RECURSIVE {_LATEST}, steps AS (SELECT taxid, unnest(path) a, unnest(range(1, len(path) + 1)) i FROM tree)
       SELECT t.taxid node, arg_max(s.a, s.i) nearest FROM tree t LEFT JOIN (SELECT * FROM steps WHERE a IN (SELECT virus_tax_id FROM test_infection_db)) s USING (taxid) GROUP BY t.taxid""",
