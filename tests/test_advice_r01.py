@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from virelay.operators import hierarchy as h
+
 DATA = Path("/root/testdata/sf0.001")
 
 
@@ -32,3 +34,20 @@ def test_every_alignment_reaches_the_distance(spark, rows):
     got = same_as_sql(spark, rows, "taxid_distance_reads")
     assert len(got) == spark.read.parquet(str(DATA / "tab_minimap.parquet")).count()
     assert sum(r[2] is not None for r in got) > len(got) * 0.9
+
+
+@pytest.mark.parametrize("level", [1, 4])
+def test_roots_of_small_trees_spread_over_fragments(spark, level):
+    n, size = 4000, 100
+    links = spark.range(2 * n).select(F.col("id").alias("node"), F.when(F.col("id") >= n, F.col("id") - n).alias("parent"), F.array("id").alias("load"))
+    frags = h._fragments(links, 2 * n, level, size).groupBy("frag").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("parent").isNull()).alias("roots")).collect()
+    assert sum(f.n for f in frags) == 2 * n
+    assert max(f.n for f in frags) < 3 * size and max(f.roots for f in frags) < 2 * size
+
+
+def test_forest_of_many_two_level_trees(spark):
+    n = 3000
+    links = spark.range(2 * n).select(F.col("id").alias("node"), F.when(F.col("id") >= n, F.col("id") - n).alias("parent"))
+    got = h.hierarchy(links, 200)
+    assert got.where(F.col("node") < n).agg(F.count_if((F.col("depth") == 0) & (F.col("n_descendants") == 1) & (F.col("root") == F.col("node")))).first()[0] == n
+    assert got.where(F.col("node") >= n).agg(F.count_if((F.col("depth") == 1) & (F.col("root") == F.col("node") - n))).first()[0] == n

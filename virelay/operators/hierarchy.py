@@ -88,7 +88,9 @@ def _fragments(links: DataFrame, n: int, level: int, fragment_nodes: int) -> Dat
     spread = F.xxhash64("node", F.lit(level))
     if level == 0 or count == 1:
         return links.select(F.pmod(spread, F.lit(count)).alias("frag"), "node", "parent", "load")
-    keyed = links.withColumn("meet", F.when(F.xxhash64("parent", F.lit(level)) < spread, F.col("parent")).otherwise(F.col("node")))
+    # the hash of a null parent is a constant: a root meets its children under its own name only
+    under = F.col("parent").isNotNull() & (F.xxhash64("parent", F.lit(level)) < spread)
+    keyed = links.withColumn("meet", F.when(under, F.col("parent")).otherwise(F.col("node")))
     crowded = keyed.groupBy("meet").count().where(F.col("count") > fragment_nodes // 4).select("meet", F.lit(True).alias("crowded"))
     return (
         keyed.join(F.broadcast(crowded), "meet", "left")  # at most 4 rows for each fragment of nodes
