@@ -51,3 +51,17 @@ def test_forest_of_many_two_level_trees(spark):
     got = h.hierarchy(links, 200)
     assert got.where(F.col("node") < n).agg(F.count_if((F.col("depth") == 0) & (F.col("n_descendants") == 1) & (F.col("root") == F.col("node")))).first()[0] == n
     assert got.where(F.col("node") >= n).agg(F.count_if((F.col("depth") == 1) & (F.col("root") == F.col("node") - n))).first()[0] == n
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer", "semi", "anti"])
+def test_joins_take_whole_tables(spark, rows, how):
+    got = same_as_sql(spark, rows, f"join_{how}_taxa")
+    n = spark.read.parquet(str(DATA / "tab_minimap.parquet")).count()
+    matched = len(same_as_sql(spark, rows, "join_inner_taxa"))
+    unmatched = n - matched
+    assert 0 < unmatched
+    assert {"inner": len(got) == matched, "semi": len(got) == matched, "anti": len(got) == unmatched, "left": len(got) == n, "right": len(got) > matched, "outer": len(got) > n}[how]
+
+
+def test_strict_join_of_a_growing_pair(spark, rows):
+    assert len(same_as_sql(spark, rows, "join_strict_parts")) == spark.read.parquet(str(DATA / "lineitem.parquet")).count()

@@ -153,6 +153,37 @@ def join_anti(spark: SparkSession, d: str) -> DataFrame:
     return joins.rows_without(table(spark, d, "customer").select("c_custkey", "c_name"), _spent(spark, d), "c_custkey")
 
 
+def _alignments(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "tab_minimap").select("row_no", "taxid")
+
+
+def _taxa(spark: SparkSession, d: str) -> DataFrame:
+    return _links(spark, d).select(F.col("node").alias("taxid"), F.col("parent").alias("parent_taxid"))
+
+
+def _joined_taxa(how: str):
+    """All alignments with all taxa; either side has keys that the other lacks."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return joins.checked_join(_alignments(spark, d), _taxa(spark, d), "taxid", how)
+
+    return run
+
+
+def join_semi_taxa(spark: SparkSession, d: str) -> DataFrame:
+    return joins.rows_with(_alignments(spark, d), _taxa(spark, d), "taxid")
+
+
+def join_anti_taxa(spark: SparkSession, d: str) -> DataFrame:
+    return joins.rows_without(_alignments(spark, d), _taxa(spark, d), "taxid")
+
+
+def join_strict_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with their parts: each line has a part, each part a line. Orders without lines exist, so orders would be an error."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
+    return joins.checked_join(lines, table(spark, d, "part").select("p_partkey", "p_name"), "p_partkey", "strict")
+
+
 def projections(spark: SparkSession, d: str) -> DataFrame:
     t = relops.keep_columns(table(spark, d, "customer"), ["c_custkey", "c_mktsegment", "c_name", "c_acctbal", "c_nationkey"])
     t = relops.drop_columns(relops.rename_columns(t, ["c_custkey", "c_nationkey"], ["c_nationkey", "c_custkey"]), ["c_acctbal", "none_such"])
@@ -286,12 +317,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         clade_counts, lca_by_read, taxid_distance, taxid_distance_reads, raise_rank, infection_status, nearest_marked, duplicate_reads, duplicate_groups, top_duplicate_groups, rank_fraction,
-        best_per_pair, join_strict, join_semi, join_anti, projections, filter_value, union_headers, unique_rows, chunks, missing_hosts, read_counts, qc_basic, qc_lengths,
+        best_per_pair, join_strict, join_semi, join_anti, join_semi_taxa, join_anti_taxa, join_strict_parts, projections, filter_value, union_headers, unique_rows, chunks, missing_hosts, read_counts, qc_basic, qc_lengths,
         qc_quality_by_base, qc_quality_by_read, strand_sequences, kmer_screen, low_complexity, index_changes, parent_transitions, species_deltas, metric_changes,
         schema_violations, fastq_records, group_json, annotated_hits, streamed_counts,
     )
 }
 QUERIES |= {f"join_{how}": _joined(how) for how in ("inner", "left", "right", "outer")}
+QUERIES |= {f"join_{how}_taxa": _joined_taxa(how) for how in ("inner", "left", "right", "outer")}
 
 _ROWS = "SELECT seq_id g, taxid t, CAST(best_alignment_score AS DOUBLE) s, row_no o FROM tab_minimap WHERE seq_id IS NOT NULL AND taxid IS NOT NULL AND best_alignment_score IS NOT NULL"
 _UNC = f"SELECT DISTINCT x.taxid FROM tree x WHERE EXISTS (SELECT 1 FROM test_virus_db v WHERE v.notes = '{UNSURE}' AND list_contains(x.path, v.taxid)) UNION SELECT taxid FROM test_virus_db WHERE notes = '{UNSURE}'"
@@ -374,6 +406,10 @@ ORACLE = {
     "join_semi": f"SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT c_custkey FROM ({_SPENT}))",
     "join_anti": f"SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM ({_SPENT}))",
     **{f"join_{how}": f"SELECT coalesce(a.c_custkey, b.c_custkey) c_custkey, a.c_name, b.n_orders FROM ({_CUST}) a {how if how != 'outer' else 'full'} JOIN ({_SPENT}) b ON a.c_custkey = b.c_custkey" for how in ("inner", "left", "right", "outer")},
+    "join_strict_parts": "SELECT l_orderkey, l_linenumber, p_partkey, p_name FROM lineitem JOIN part ON p_partkey = l_partkey",
+    "join_semi_taxa": "SELECT row_no, taxid FROM tab_minimap WHERE taxid IN (SELECT taxid FROM test_virus_db WHERE taxid IS NOT NULL)",
+    "join_anti_taxa": "SELECT row_no, taxid FROM tab_minimap a WHERE NOT EXISTS (SELECT 1 FROM test_virus_db v WHERE v.taxid = a.taxid)",
+    **{f"join_{how}_taxa": f"WITH RECURSIVE {_LATEST} SELECT a.row_no, coalesce(a.taxid, b.taxid) taxid, b.p parent_taxid FROM tab_minimap a {how if how != 'outer' else 'full'} JOIN links b ON a.taxid = b.taxid" for how in ("inner", "left", "right", "outer")},
     "projections": "SELECT c_custkey c_nationkey, c_mktsegment, c_name, c_nationkey c_custkey, 'raw' stage, 'raw' platform, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name ELSE c_mktsegment END x_label, CAST(NULL AS INT) query_len_rev FROM customer",
     "filter_value": "SELECT CAST(edit_distance AS VARCHAR) cell, count(*) n_rows FROM tab_minimap WHERE edit_distance IS NULL OR edit_distance <> 2 GROUP BY ALL",
     "union_headers": "SELECT o_orderstatus, count(*) n, CAST(sum(o_orderkey) AS BIGINT) keys, CAST(sum(o_custkey) AS BIGINT) customers FROM orders GROUP BY ALL",
