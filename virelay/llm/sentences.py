@@ -251,14 +251,16 @@ def mask(c: Column) -> Column:
     c = _if_has(c, ";", lambda x: _sub(x, r"[;;](?<=[\u0370-\u03ff\u1f00-\u1fff\u0300\u0301][;;])", "؟"))
     # quotations: opening and closing marks of all styles become one pair
     inner = rf"[^{_PARA}{_OPEN}{_CLOSE}"
-    c = _if_has(c, "„", lambda x: _sub(x, rf"„({inner}„“”]{{1,900}})[“”]", f"{_OPEN}$1{_CLOSE}"))
-    c = _if_has(c, "“", lambda x: _sub(x, rf"“({inner}“”]{{1,900}})”", f"{_OPEN}$1{_CLOSE}"))
-    german = rf"»(?<=(?:^|[\s{_PARA}(—])»)(?=[\p{{L}}\p{{N}}])({inner}«»]{{1,900}})«(?![\p{{L}}\p{{N}}])"
-    c = _if_has(c, "«", lambda x: _sub(_sub(x, german, f"{_OPEN}$1{_CLOSE}"), rf"«({inner}«»]{{1,900}})»", f"{_OPEN}$1{_CLOSE}"))
-    c = _if_has(c, '"', lambda x: _sub(x, rf'"({inner}"]{{1,900}})"', f"{_OPEN}$1{_CLOSE}"))
-    c = _let(c, lambda x: F.when(x.contains("''"), _sub(x, rf"''({inner}]{{1,900}}?)''", f"{_OPEN}{_MARK}$1{_MARK}{_CLOSE}")).otherwise(x))
-    c = _if_has(c, "『", lambda x: _sub(x, rf"『({inner}『』]{{1,900}})』", f"{_NAME}$1{_MARK}"))
-    c = _if_has(c, "「", lambda x: _sub(x, rf"「({inner}「」]{{1,900}})」", f"{_OPEN}$1{_CLOSE}"))
+    c = _if_has(c, "„", lambda x: _sub(x, rf"„({inner}„“”]++)[“”]", f"{_OPEN}$1{_CLOSE}"))
+    c = _if_has(c, "“", lambda x: _sub(x, rf"“({inner}“”]++)”", f"{_OPEN}$1{_CLOSE}"))
+    german = rf"»(?<=(?:^|[\s{_PARA}(—])»)(?=[\p{{L}}\p{{N}}])({inner}«»]++)«(?![\p{{L}}\p{{N}}])"
+    # from a mark right behind a word and before a blank to one right before a word is what lies between two quotations
+    french = rf"«({inner}«»]++(?=»(?![\p{{L}}\p{{N}}]))|(?!(?<=[^\s{_PARA}(\[—–:-]«)\s){inner}«»]++)»"
+    c = _if_has(c, "«", lambda x: _sub(_sub(x, german, f"{_OPEN}$1{_CLOSE}"), french, f"{_OPEN}$1{_CLOSE}"))
+    c = _if_has(c, '"', lambda x: _sub(x, rf'"({inner}"]++)"', f"{_OPEN}$1{_CLOSE}"))
+    c = _let(c, lambda x: F.when(x.contains("''"), _sub(x, rf"''({inner}]+?)''", f"{_OPEN}{_MARK}$1{_MARK}{_CLOSE}")).otherwise(x))
+    c = _if_has(c, "『", lambda x: _sub(x, rf"『({inner}『』]++)』", f"{_NAME}$1{_MARK}"))
+    c = _if_has(c, "「", lambda x: _sub(x, rf"「({inner}「」]++)」", f"{_OPEN}$1{_CLOSE}"))
     # what ends nothing inside quotations and brackets
     c = _if_has(c, _CLOSE, lambda x: _inside(x, _OPEN, _CLOSE))
     c = _if_has(c, "(", lambda x: _inside(x, "(", ")"))
@@ -336,7 +338,7 @@ def sentences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", boxes:
     ornament or the neighbouring column interrupts is one unit from its first to its last character.
 
     Null, empty and blank texts, and rows with a null ``doc_id``, have no sentences. Of repeated rows of a doc_id, one counts.
-    Texts are cut whole, however long. Rows are shuffled once, by doc_id; all windows and groups are within a page.
+    Texts and quotations are cut whole, however long; a quotation ends with its paragraph at the latest. Rows are shuffled once, by doc_id; all windows and groups are within a page.
     """
     pages = page_lines(df, doc_id, text, boxes).select("doc", _let(F.col("rows"), _running).alias("rows"))
 
