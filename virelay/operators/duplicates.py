@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from virelay.operators.components import components
+from virelay.operators.components import contract
 from virelay.session import cut_lineage
 
 _PLACE = ("genome", "lo", "hi")
@@ -40,27 +40,23 @@ def mark_duplicates(df: DataFrame, read: str, genome: str, start: str, end: str,
     q = F.coalesce(F.col(quality), F.lit(0.0)).cast("double")
     reads = df.where(F.col(read).isNotNull() & F.col(genome).isNotNull()).select(F.col(read).alias("read"), *normalised_place(F.col(genome), F.col(start), F.col(end)), q.alias("q")).where("lo IS NOT NULL")
     best = F.min(F.struct((-F.col("q")).alias("nq"), F.col("read").alias("name")))
-    node = F.struct(*_PLACE)
-    nodes = cut_lineage(reads.groupBy(*_PLACE).agg(F.count(F.lit(1)).alias("n"), best.alias("best")).select(node.alias("node"), "n", "best"))
-    steps = [(x, y) for x in range(deviation + 1) for y in range(-deviation, deviation + 1) if (x, y) > (0, 0)]
-    near = nodes.select("node", "n", F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in steps])).alias("s")) if steps else nodes.limit(0).select("node", "n", F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")).alias("s"))
-    near = near.where(F.col("node.hi").isNotNull() | (F.col("s.y") == 0)).select(
-        F.col("node").alias("a"), F.col("n").alias("na"),
-        F.col("node.genome").alias("genome"), (F.col("node.lo") + F.col("s.x")).alias("lo"), (F.col("node.hi") + F.col("s.y")).alias("hi"),
-    )
-    there = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), "node.*")
-    on = [near.genome == there.genome, near.lo == there.lo, near.hi.eqNullSafe(there.hi)]
-    links = cut_lineage(near.join(there, on).select("a", "b", "na", "nb"))
-    comp = components(links)
-    placed = cut_lineage(nodes.join(comp, "node", "left").select("node", "n", "best", F.coalesce("component", "node").alias("component")))
-    pairs = links.join(placed.select(F.col("node").alias("a"), "component"), "a").groupBy("component").agg(F.sum(F.col("na") * F.col("nb")).alias("linked"))
-    sizes = placed.groupBy("component").agg(F.sum("n").alias("size"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("same"), F.min("best").alias("best"))
-    groups = sizes.join(pairs, "component", "left").select(
-        "component", F.col("best.name").alias("exemplar"), F.col("component.genome").alias("genome"), F.col("size").alias("group_size"),
+    # places get numbers once; all that follows works on these
+    places = reads.groupBy(*_PLACE).agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
+    nodes = cut_lineage(places.withColumn("id", F.monotonically_increasing_id()))
+    steps = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in range(deviation + 1) for y in range(-deviation, deviation + 1) if (x, y) > (0, 0)]
+    near = nodes.select("id", "n", *_PLACE, F.explode(F.array(*steps) if steps else F.array().cast("array<struct<x:int,y:int>>")).alias("s")).where(F.col("hi").isNotNull() | (F.col("s.y") == 0))
+    near = near.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("genome").alias("g"), (F.col("lo") + F.col("s.x")).alias("l"), (F.col("hi") + F.col("s.y")).alias("h"))
+    on = (F.col("g") == F.col("genome")) & (F.col("l") == F.col("lo")) & F.col("h").eqNullSafe(F.col("hi"))
+    links = cut_lineage(near.join(nodes.select(F.col("id").alias("b"), F.col("n").alias("nb"), *_PLACE), on).select("a", "b", (F.col("na") * F.col("nb")).alias("pairs")))
+    placed = cut_lineage(nodes.join(contract(links).toDF("id", "r"), "id", "left").select("id", *_PLACE, "n", "best", F.coalesce("r", "id").alias("r")))
+    pairs = links.groupBy(F.col("a").alias("id")).agg(F.sum("pairs").alias("pairs")).join(placed.select("id", "r"), "id").groupBy("r").agg(F.sum("pairs").alias("linked"))
+    sizes = placed.groupBy("r").agg(F.min("genome").alias("genome"), F.sum("n").alias("size"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("same"), F.min("best").alias("best"))
+    groups = sizes.join(pairs, "r", "left").select(
+        "r", F.col("best.name").alias("exemplar"), "genome", F.col("size").alias("group_size"),
         F.when(F.col("size") > 1, F.round((F.col("same") + F.coalesce("linked", F.lit(0))) / (F.col("size") * (F.col("size") - 1) / 2), 6)).otherwise(F.lit(1.0)).alias("pairwise_match_frac"),
     )
     groups = cut_lineage(groups)
-    named = placed.select("node", "component").join(groups.select("component", "exemplar"), "component").select("node.*", "exemplar").toDF("g", "l", "h", "exemplar")
+    named = placed.select("r", *_PLACE).join(groups.select("r", "exemplar"), "r").select(*_PLACE, "exemplar").toDF("g", "l", "h", "exemplar")
     marked = reads.join(named, (F.col("genome") == F.col("g")) & (F.col("lo") == F.col("l")) & F.col("hi").eqNullSafe(F.col("h")))
     return marked.select(F.col("read").alias(read), "exemplar"), groups.select("exemplar", "genome", "group_size", "pairwise_match_frac")
 
