@@ -5,55 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from virelay.session import cut_lineage
+from virelay.operators.components import components
 
 
-def _edges(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Distinct links, smaller name first; pairs with a null side or of a record with itself link nothing."""
-    return (
-        pairs.where(F.col(a) != F.col(b))
-        .select(F.least(F.col(a), F.col(b)).alias("a"), F.greatest(F.col(a), F.col(b)).alias("b"))
-        .distinct()
-    )
-
-
-def linked_groups(pairs: DataFrame, a: str, b: str, seed: int = 17, max_rounds: int = 200) -> DataFrame:
+def linked_groups(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """(name, group_name, group_size) of every name that a pair links to another; the group is named by its smallest name.
 
-    In each round all vertices draw fresh hashes; each hooks to the vertex of the smallest hash among itself and its
-    neighbours, links are relabelled to the hooks, and links within a hook and repeated ones go. The expected share of
-    vertices that stay is at most three quarters, whatever the shape, so rounds grow with the logarithm of the vertices.
-    The mappings of the rounds are expanded from the last back to the first. Every round is checkpointed.
-
-    The hook of a vertex is a minimum, combined in the tasks, so a vertex with most of the links costs one partial row for each
-    task. The relabelling joins meet one mapping row for each vertex; long runs of one vertex are split by adaptive execution.
-    Repeated and reversed pairs change nothing; without links there are no rows.
+    Names get numbers once. In each round all vertices draw fresh hashes and hook to the neighbour of the smallest one, links are relabelled and
+    deduplicated, and the rounds' mappings are expanded at last (virelay.operators.components.contract). Repeated and reversed pairs change nothing; pairs with a null
+    side or of a record with itself link nothing; without links there are no rows.
     """
-    edges, mappings = cut_lineage(_edges(pairs, a, b)), []
-    while not edges.isEmpty():
-        if len(mappings) == max_rounds:
-            raise RuntimeError(f"links are left after {max_rounds} rounds")
-        salt = F.lit(seed + len(mappings))
-        ends = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
-        near = ends.groupBy("v").agg(F.min(F.struct(F.xxhash64("u", salt).alias("h"), "u")).alias("n"))
-        own = F.struct(F.xxhash64("v", salt).alias("h"), F.col("v").alias("u"))
-        hooks = cut_lineage(near.select("v", F.least("n", own)["u"].alias("r")))
-        mappings.append(hooks)
-        relabelled = (
-            edges.join(hooks.select(F.col("v").alias("a"), F.col("r").alias("ra")), "a")
-            .join(hooks.select(F.col("v").alias("b"), F.col("r").alias("rb")), "b")
-        )
-        edges = cut_lineage(_edges(relabelled.select("ra", "rb"), "ra", "rb"))
-    if not mappings:
-        return edges.select(F.col("a").alias("name"), F.col("b").alias("group_name"), F.lit(0).cast("bigint").alias("group_size"))
-    labels = mappings.pop()
-    while mappings:
-        upper = labels.select(F.col("v").alias("r"), F.col("r").alias("top"))
-        labels = mappings.pop().join(upper, "r", "left").select("v", F.coalesce("top", "r").alias("r"))
-        if len(mappings) % 3 == 0:  # short plans are cheap to replan
-            labels = cut_lineage(labels)
-    names = labels.groupBy("r").agg(F.min("v").alias("group_name"), F.count(F.lit(1)).alias("group_size"))
-    return labels.join(names, "r").select(F.col("v").alias("name"), "group_name", "group_size")
+    return components(pairs, a, b).select(F.col("node").alias("name"), F.col("component").alias("group_name"), F.col("size").alias("group_size"))
 
 
 def all_groups(names: DataFrame, name: str, linked: DataFrame) -> DataFrame:
