@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,6 +56,27 @@ def valid_spans(df: DataFrame, e: Entity) -> DataFrame:
     )
 
 
+def _judged(refs: DataFrame, r: Reference, entity: DataFrame, e: Entity, lost: DataFrame | None = None) -> DataFrame:
+    """(ref_table, ref_field, row_no, ref_key, ref_at, kind) of orphan references; those to valid records of the keys in ``lost`` (k) are inherited.
+
+    Spans of a key don't overlap, so a reference meets one at most, and one row with what is known of its key.
+    """
+    side = refs.where(F.col(r.field).isNotNull()).select(
+        F.col(r.row_id).alias("row_no"), F.col(r.field).cast("bigint").alias("ref_key"), F.col(r.at).alias("ref_at")
+    )
+    spans = valid_spans(entity, e).select(F.col("__key").cast("bigint").alias("k"), "since", "until")
+    keys = entity.where(F.col(e.key).isNotNull()).groupBy(F.col(e.key).cast("bigint").alias("k")).agg(F.min(e.since).alias("first_since"))
+    keys = keys.withColumn("lost", F.lit(False)) if lost is None else keys.join(lost.withColumn("lost", F.lit(True)), "k", "left")
+    within = (side.ref_key == spans.k) & (side.ref_at >= spans.since) & (side.ref_at < spans.until)
+    met = side.join(spans, within, "left_anti").withColumn("valid", F.lit(False)) if lost is None else side.join(spans, within, "left").select("row_no", "ref_key", "ref_at", F.col("since").isNotNull().alias("valid"))
+    kind = (
+        F.when(F.col("valid"), F.when(F.col("lost"), "inherited")).when(F.col("k").isNull(), "missing")
+        .when(F.col("ref_at") < F.col("first_since"), "late").otherwise("deleted")
+    )
+    judged = met.join(keys, F.col("ref_key") == F.col("k"), "left").select(F.lit(r.table).alias("ref_table"), F.lit(r.field).alias("ref_field"), "row_no", "ref_key", "ref_at", kind.alias("kind"))
+    return judged.where(F.col("kind").isNotNull())
+
+
 def direct_orphans(refs: DataFrame, r: Reference, entity: DataFrame, e: Entity) -> DataFrame:
     """(ref_table, ref_field, row_no, ref_key, ref_at, kind) of references without a row valid at their time.
 
@@ -63,19 +85,7 @@ def direct_orphans(refs: DataFrame, r: Reference, entity: DataFrame, e: Entity)
     Repeated rows all count. An empty entity makes every reference ``missing``. Both joins meet one compact row
     for each key or span, so a hot key only makes a long run of references, which adaptive execution splits.
     """
-    side = refs.where(F.col(r.field).isNotNull()).select(
-        F.col(r.row_id).alias("row_no"), F.col(r.field).cast("bigint").alias("ref_key"), F.col(r.at).alias("ref_at")
-    )
-    spans = valid_spans(entity, e).select(F.col("__key").cast("bigint").alias("k"), "since", "until")
-    known = entity.where(F.col(e.key).isNotNull()).groupBy(F.col(e.key).cast("bigint").alias("k")).agg(F.min(e.since).alias("first_since"))
-    return (
-        side.join(spans, (side.ref_key == spans.k) & (side.ref_at >= spans.since) & (side.ref_at < spans.until), "left_anti")
-        .join(known.withColumn("known", F.lit(True)), F.col("ref_key") == F.col("k"), "left")
-        .select(
-            F.lit(r.table).alias("ref_table"), F.lit(r.field).alias("ref_field"), "row_no", "ref_key", "ref_at",
-            F.when(F.col("known").isNull(), "missing").when(F.col("ref_at") < F.col("first_since"), "late").otherwise("deleted").alias("kind"),
-        )
-    )
+    return _judged(refs, r, entity, e)
 
 
 def orphan_entities(tables: dict[str, DataFrame], entities: list[Entity]) -> DataFrame:
@@ -115,23 +125,19 @@ def orphan_entities(tables: dict[str, DataFrame], entities: list[Entity]) -> Dat
     return found.select(F.col("t").alias("entity_table"), F.col("k").alias("entity_key"), "inherited")
 
 
-def orphan_report(tables: dict[str, DataFrame], references: list[Reference], entities: list[Entity]) -> DataFrame:
-    """(ref_table, ref_field, period_month, kind, n_refs): orphan references for each table and month.
+def orphans(tables: dict[str, DataFrame], references: list[Reference], entities: list[Entity]) -> DataFrame:
+    """(ref_table, ref_field, row_no, ref_key, ref_at, kind): orphan references, direct and inherited; each comes once.
 
-    ``kind`` is missing, late or deleted for direct orphans; ``inherited`` for references whose own record
-    is valid at their time but an orphan itself, or below one.
+    ``kind`` is missing, late or deleted for direct orphans, as in direct_orphans; ``inherited`` for references whose own record
+    is valid at their time but an orphan itself, or below one, by the cascade of orphan_entities.
     """
     by = {e.table: e for e in entities}
-    orphaned = orphan_entities(tables, [e for e in entities if e.parent])
-    out = None
-    for r in references:
-        refs = tables[r.table]
-        direct = direct_orphans(refs, r, tables[r.to], by[r.to])
-        lost = orphaned.where(F.col("entity_table") == r.to).select("entity_key")
-        side = refs.where(F.col(r.field).isNotNull()).select(F.col(r.row_id).alias("row_no"), F.col(r.field).cast("bigint").alias("ref_key"), F.col(r.at).alias("ref_at"))
-        spans = valid_spans(tables[r.to], by[r.to]).select(F.col("__key").cast("bigint").alias("k"), "since", "until")
-        below = side.join(lost, side.ref_key == lost.entity_key, "left_semi").join(spans, (side.ref_key == spans.k) & (side.ref_at >= spans.since) & (side.ref_at < spans.until), "left_semi")
-        below = below.select(F.lit(r.table).alias("ref_table"), F.lit(r.field).alias("ref_field"), "row_no", "ref_key", "ref_at", F.lit("inherited").alias("kind"))
-        both = direct.unionByName(below)
-        out = both if out is None else out.unionByName(both)
-    return out.groupBy("ref_table", "ref_field", F.date_format("ref_at", "yyyy-MM").alias("period_month"), "kind").agg(F.count(F.lit(1)).alias("n_refs"))
+    lost = orphan_entities(tables, [e for e in entities if e.parent])
+    parts = [_judged(tables[r.table], r, tables[r.to], by[r.to], lost.where(F.col("entity_table") == r.to).select(F.col("entity_key").alias("k"))) for r in references]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def orphan_report(tables: dict[str, DataFrame], references: list[Reference], entities: list[Entity]) -> DataFrame:
+    """(ref_table, ref_field, period_month, kind, n_refs): orphan references, as in orphans, for each table, field and month."""
+    found = orphans(tables, references, entities)
+    return found.groupBy("ref_table", "ref_field", F.date_format("ref_at", "yyyy-MM").alias("period_month"), "kind").agg(F.count(F.lit(1)).alias("n_refs"))

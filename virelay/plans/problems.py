@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from virelay.operators import hierarchy as h
 from virelay.operators.hot_keys import heavy_keys, key_summary
-from virelay.operators.orphans import Entity, Reference, direct_orphans, orphan_report
+from virelay.operators.orphans import Entity, Reference, orphan_report, orphans
 from virelay.operators.packed import explode_packed
 from virelay.session import table
 
@@ -62,21 +62,23 @@ def p4_values(spark: SparkSession, d: str) -> DataFrame:
     return values.groupBy("field_name", "item_text").agg(F.count(F.lit(1)).alias("n_values"), F.max("pos").alias("max_pos"))
 
 
+def _orphan_rows(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], list[Reference], list[Entity]]:
+    """The tables of the problem. Parent 0 marks a root, not a missing record."""
+    tables = {t: table(spark, d, t) for t in ("tab_minimap", "test_infection_db", "test_virus_db", "host_nodes")}
+    for e in (VIRUS, HOST):
+        tables[e.table] = tables[e.table].withColumn(e.parent, F.nullif(F.col(e.parent), F.lit(0)))
+    return tables, REFERENCES, [VIRUS, HOST]
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    out = None
-    entities = {e.table: e for e in (VIRUS, HOST)}
-    for r in REFERENCES:
-        one = direct_orphans(table(spark, d, r.table), r, table(spark, d, r.to), entities[r.to])
-        out = one if out is None else out.unionByName(one)
-    return out.select("ref_table", "ref_field", "row_no", "kind", F.date_format("ref_at", "yyyy-MM").alias("period_month"))
+    """The direct orphans of the cascade."""
+    found = orphans(*_orphan_rows(spark, d)).where("kind <> 'inherited'")
+    return found.select("ref_table", "ref_field", "row_no", "kind", F.date_format("ref_at", "yyyy-MM").alias("period_month"))
 
 
 def p6_report(spark: SparkSession, d: str) -> DataFrame:
-    """Direct and inherited orphans for each table, field and month. Parent 0 marks a root, not a missing record."""
-    tables = {t: table(spark, d, t) for t in ("tab_minimap", "test_infection_db", "test_virus_db", "host_nodes")}
-    for e in (VIRUS, HOST):
-        tables[e.table] = tables[e.table].withColumn(e.parent, F.nullif(F.col(e.parent), F.lit(0)))
-    return orphan_report(tables, REFERENCES, [VIRUS, HOST])
+    """Direct and inherited orphans for each table, field and month."""
+    return orphan_report(*_orphan_rows(spark, d))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_genomes, p2_found, p2_descendants, p4_found, p4_values, p6_found, p6_report)}
