@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from virelay.session import broadcast_if_small, cut_lineage
+from virelay.session import cut_lineage
 
-#: Nodes that one fragment may hold; a forest within it is solved in one fragment.
-FRAGMENT_NODES = 50_000
+#: Nodes that one fragment may hold, and those worth a fragment; a forest of fewer is solved in one.
+FRAGMENT_NODES, LEAST_NODES = 50_000, 200
+#: Values of one Arrow array.
+_CHUNK = 1 << 28
 _SOLVED = "frag long, node long, parent long, exit long, steps array<bigint>"
 
 
@@ -31,60 +32,65 @@ def latest_links(df: DataFrame, node: str, parent: str, version: str | None = No
     return best.select("node").join(linked, "node", "left")
 
 
-def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Parent chains within each fragment. ``steps`` are the loads (paths) of the nodes from behind the exit down to the node.
+def _segments(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of segments, one segment after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
-    ``exit`` is the first ancestor outside the fragment, null at a root. Nodes on or below a loop
-    that lies in the fragment get null steps.
+
+def _contract(t: pa.Table) -> pa.Table:
+    """Parent chains within a fragment. ``steps`` are the loads (paths) of the nodes from behind the exit down to the node.
+
+    ``exit`` is the first ancestor outside the fragment, null at a root. Nodes on or below a loop that lies in the fragment get null steps. All steps
+    lie in one array, filled from the tops of the chains down: those of a node are a copy of its parent's and its own load.
     """
-    for f in frames:
-        node = f["node"].to_numpy(np.int64)
-        order = np.argsort(node)
-        rank = node[order]
-        has = f["parent"].notna().to_numpy()
-        parent = f["parent"].fillna(-1).to_numpy(np.int64)
-        at = np.minimum(np.searchsorted(rank, parent), len(rank) - 1)
-        up = np.where(has & (rank[at] == parent), order[at], -1)
-        # pointer doubling: the top of each chain, or none for what hangs on a loop
-        top, hops = up.copy(), 1
-        while hops <= len(node):
-            go = top >= 0
-            top[go] = np.where(top[top[go]] >= -1, top[top[go]], -1)
-            hops *= 2
-        loops = top >= 0
-        loads = f["load"].to_list()
-        steps: list[np.ndarray | None] = [None] * len(node)
-        exits = np.full(len(node), -1, np.int64)
-        out = np.zeros(len(node), bool)
-        for i in range(len(node)):
-            if loops[i] or steps[i] is not None:
-                continue
-            chain, j = [], i
-            while j >= 0 and steps[j] is None:
-                chain.append(j)
-                j = up[j]
-            if j >= 0:
-                path, e, o = steps[j], exits[j], out[j]
-            else:
-                path, e, o = np.zeros(0, np.int64), parent[chain[-1]], has[chain[-1]]
-            for j in reversed(chain):
-                path = np.concatenate([path, loads[j]])
-                steps[j], exits[j], out[j] = path, e, o
-        ok = ~loops
-        yield pd.DataFrame({
-            "frag": f["frag"].to_numpy(), "node": node, "parent": pd.array(np.where(has, parent, 0), "Int64").copy(),
-            "exit": pd.array(exits, "Int64"), "steps": pd.Series(steps, dtype=object),
-        }).assign(parent=lambda d, has=has: d["parent"].where(has), exit=lambda d, out=out, ok=ok: d["exit"].where(out & ok))
+    node, load = t["node"].to_numpy(), t["load"].combine_chunks()
+    has, parent = t["parent"].is_valid().to_numpy(), t["parent"].fill_null(-1).to_numpy()
+    order = np.argsort(node)
+    at = np.minimum(np.searchsorted(node[order], parent), len(node) - 1)
+    up = np.where(has & (node[order][at] == parent), order[at], -1)
+    load_at, load_n = np.asarray(load.offsets)[:-1].astype(np.int64), np.diff(np.asarray(load.offsets)).astype(np.int64)
+    # pointer doubling: what lies between a node and the place its jump leads to; a jump that never ends is on a loop
+    jump, top, height, size = up.copy(), np.arange(len(node)), np.ones(len(node), np.int64), load_n.copy()
+    for _ in range(len(node).bit_length() + 1):
+        go = np.flatnonzero(jump >= 0)
+        to = jump[go]
+        top[go], height[go], size[go] = top[to], height[go] + height[to], size[go] + size[to]
+        jump[go] = jump[to]
+    ok = jump < 0
+    size[~ok] = 0
+    begin = np.cumsum(size) - size
+    values, loads = np.empty(int(size.sum()), np.int64), np.asarray(load.values)
+    by_height = np.flatnonzero(ok)
+    by_height = by_height[np.argsort(height[by_height], kind="stable")]
+    for part in np.split(by_height, np.flatnonzero(np.diff(height[by_height])) + 1):
+        above = np.where(up[part] >= 0, size[up[part]], 0)
+        values[_segments(begin[part], above)] = values[_segments(begin[up[part]], above)]
+        values[_segments(begin[part] + above, load_n[part])] = loads[_segments(load_at[part], load_n[part])]
+    # lists of an Arrow array have offsets of 32 bits
+    pieces = []
+    for rows in np.split(np.arange(len(node)), np.searchsorted(begin, np.arange(_CHUNK, len(values), _CHUNK))):
+        if len(rows):
+            first, end = begin[rows[0]], begin[rows[-1]] + size[rows[-1]]
+            offsets = np.append(begin[rows] - first, end - first).astype(np.int32)
+            pieces.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[first:end]), mask=pa.array(~ok[rows])))
+    exits = pa.array(parent[top], mask=~(ok & has[top]))
+    return pa.table({"frag": t["frag"], "node": t["node"], "parent": t["parent"], "exit": exits, "steps": pa.chunked_array(pieces, pa.list_(pa.int64()))})
+
+
+def _n_fragments(spark: SparkSession, n: int, fragment_nodes: int) -> int:
+    """As many fragments as tasks can run at once, unless they would be tiny, and as many as their size asks for."""
+    return max(1, math.ceil(n / fragment_nodes), min(spark.sparkContext.defaultParallelism, n // LEAST_NODES))
 
 
 def _fragments(links: DataFrame, n: int, level: int, fragment_nodes: int) -> DataFrame:
-    """``links`` with the number of their fragment, about ``fragment_nodes`` nodes in each.
+    """``links`` with the number of their fragment, up to about ``fragment_nodes`` nodes in each.
 
     The first level spreads nodes by hash. Below, a node and its parent meet under the one of smaller hash, so
     a third of all links or more fall inside fragments whatever their number, and chains shrink by a fixed rate at
     each level; where more nodes than a fragment holds would meet under one parent, they are spread by hash.
     """
-    count = max(1, math.ceil(n / fragment_nodes))
+    count = _n_fragments(links.sparkSession, n, fragment_nodes)
     spread = F.xxhash64("node", F.lit(level))
     if level == 0 or count == 1:
         return links.select(F.pmod(spread, F.lit(count)).alias("frag"), "node", "parent", "load")
@@ -101,13 +107,8 @@ def _fragments(links: DataFrame, n: int, level: int, fragment_nodes: int) -> Dat
 
 def _solve(links: DataFrame, n: int, level: int, fragment_nodes: int) -> DataFrame:
     """(node, path): the loads of all nodes from the root down to the node, joined; null where the way up never ends."""
-    parts = _fragments(links, n, level, fragment_nodes)
-
-    def by_fragment(f: pd.DataFrame) -> pd.DataFrame:
-        return next(_contract(iter([f])))
-
-    solved = parts.groupBy("frag").applyInPandas(by_fragment, _SOLVED)
-    if n <= fragment_nodes:
+    solved = _fragments(links, n, level, fragment_nodes).groupBy("frag").applyInArrow(_contract, _SOLVED)
+    if _n_fragments(links.sparkSession, n, fragment_nodes) == 1:
         return solved.select("node", F.col("steps").alias("path"))
     solved = cut_lineage(solved)
     # the quotient forest: the nodes at which chains leave their fragments, each linked to its own exit
@@ -118,7 +119,7 @@ def _solve(links: DataFrame, n: int, level: int, fragment_nodes: int) -> DataFra
     m = quotient.count()
     upper = _solve(quotient, m, level + 1, fragment_nodes).select(F.col("node").alias("exit"), F.col("path").alias("above"))
     own = solved.select("node", "exit", "steps")
-    return own.join(broadcast_if_small(upper, m, 2_000), "exit", "left").select(
+    return own.join(upper, "exit", "left").select(
         "node",
         F.when(F.col("exit").isNull(), F.col("steps")).when(F.col("above").isNotNull(), F.concat("above", "steps")).alias("path"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from virelay.operators.hierarchy import descendants
-from virelay.session import broadcast_if_small, cut_lineage
+from virelay.session import array_bytes, broadcast_if_small, cut_lineage
 
 #: Ranks from the lowest up (fixed values).
 RANKS = ["subspecies", "species", "subgenus", "genus", "subfamily", "family", "suborder", "order", "subclass", "class", "subphylum", "phylum", "kingdom", "superkingdom"]
@@ -63,7 +63,7 @@ def lca_by_group(rows: DataFrame, group: str, taxid: str, score: str, ordinal: s
     r = rows.select(F.col(group).alias("g"), F.col(taxid).cast("bigint").alias("t"), F.col(score).cast("double").alias("s"), F.col(ordinal).alias("o")).where("g IS NOT NULL AND t IS NOT NULL AND s IS NOT NULL")
     # equal (group, taxid, score) rows are one for all but the counts
     r = r.groupBy("g", "t", "s").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("o"))
-    r = r.join(broadcast_if_small(info, info.count()), r.t == F.col("__n"), "left")
+    r = r.join(broadcast_if_small(info, array_bytes(paths, "path")), r.t == F.col("__n"), "left")
     c = ~F.coalesce("__unc", F.lit(False))
     art = F.coalesce("__art", F.lit(False))
     subsets = {"_combined": F.lit(True), "": ~art, "_artificial": art}
@@ -102,10 +102,10 @@ def taxid_distance(df: DataFrame, first: str, second: str, paths: DataFrame, out
     clash = {out_first, out_second} & set(df.columns)
     if clash:
         raise ValueError(f"columns exist: {sorted(clash)}")
-    n = paths.count()
+    n = array_bytes(paths, "path")
     out = df
     for c, p in ((first, "__p1"), (second, "__p2")):
-        side = broadcast_if_small(paths.select(F.col("node").alias(p + "n"), F.col("path").alias(p)), n, 20_000)
+        side = broadcast_if_small(paths.select(F.col("node").alias(p + "n"), F.col("path").alias(p)), n)
         out = out.join(side, F.col(c) == F.col(p + "n"), "left").drop(p + "n")
     shared = shared_length(F.col("__p1"), F.col("__p2"))
     ok = F.col("__p1").isNotNull() & F.col("__p2").isNotNull() & (shared > 0)

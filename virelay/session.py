@@ -2,35 +2,47 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only up to this many rows; beyond it Spark plans the join itself.
-BROADCAST_ROWS = 200_000
+#: A side is broadcast only up to this many bytes; beyond it Spark plans the join itself.
+BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` into the folder that spark.checkpoint.dir names, which all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir, or else the context, names, which all executors share.
 
-    Only where neither the setting nor the context names a folder, as in tests, a new one is taken.
+    Only where neither does, as in tests in one process, a new one is taken.
     """
+    set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (set_dir.get() if set_dir.isDefined() else None)
+    if not folder:
+        if not re.fullmatch(r"local(\[[^,]*(,[^,]*)?\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+    return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` into the shared folder."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, n_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for a side whose counted rows are within ``limit``."""
-    return F.broadcast(df) if n_rows <= limit else df
+def broadcast_if_small(df: DataFrame, n_bytes: int | None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast for a side whose counted bytes (null: none) are within ``limit``."""
+    return F.broadcast(df) if (n_bytes or 0) <= limit else df
+
+
+def array_bytes(df: DataFrame, column: str) -> int | None:
+    """About how many bytes the rows of ``df`` take whose bulk is an array of numbers of 8 bytes."""
+    return df.agg(F.sum(F.greatest(F.size(column), F.lit(0)) * 8 + 64)).first()[0]
