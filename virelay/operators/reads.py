@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,20 +58,65 @@ def joined_flags(stats: DataFrame, key: str, column: str, order: str) -> DataFra
     return stats.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, column))), lambda x: x[column]), "/").alias(column))
 
 
+def packed_kmers(df: DataFrame, keep: list[str], seq: str, k: int) -> DataFrame:
+    """The columns ``keep`` and ``kmers array<bigint>``: the distinct canonical k-mers of A, C, G and T in each sequence, two bits a base, in order.
+
+    A canonical k-mer is the smaller of itself and its reverse complement, case aside; as numbers they are ordered as their texts. ``k`` is 31 at most. A null sequence
+    has null, a short one none. Both strands of a whole batch are packed together, base by base.
+    """
+    if not 0 < k <= 31:
+        raise ValueError("k must be between 1 and 31")
+    of_byte = np.full(256, 4, np.uint8)
+    for i, pair in enumerate((b"Aa", b"Cc", b"Gg", b"Tt")):
+        of_byte[list(pair)] = i
+
+    def pack(texts: pa.Array) -> pa.Array:
+        texts = texts.cast(pa.large_binary())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
+        base, offsets = of_byte[data], offsets - offsets[0]
+        n = max(len(base) - k + 1, 0)
+        there, back = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for i in range(k):
+            b = base[i : i + n].astype(np.int64)
+            there, back = (there << 2) | (b & 3), back | ((3 - (b & 3)) << (2 * i))
+        row = np.repeat(np.arange(len(texts)), np.diff(offsets))[:n]
+        bad = np.r_[0, np.cumsum(base > 3)]
+        at = np.flatnonzero((bad[k : k + n] == bad[:n]) & (np.arange(n) + k <= offsets[1:][row] if n else np.zeros(0, bool)))
+        row, code = row[at], np.minimum(there, back)[at]
+        order = np.lexsort((code, row))
+        row, code = row[order], code[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
+        size = np.bincount(row[new], minlength=len(texts))
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(code[new]))
+        return pc.if_else(texts.is_valid(), lists, pa.scalar(None, lists.type))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pack(b.column(b.num_columns - 1))], [*keep, "kmers"])
+
+    fields = ", ".join(f"`{c}` {t}" for c, t in df.select(*keep).dtypes)
+    return df.select(*keep, F.col(seq).alias("__seq")).mapInArrow(run, f"{fields}{', ' if keep else ''}kmers array<bigint>")
+
+
 def kmer_index(genomes: DataFrame, name: str, seq: str, k: int) -> DataFrame:
-    """(kmer): distinct canonical k-mers of all sequences."""
-    return genomes.select(F.explode(sq.canonical_kmers(F.col(seq), k)).alias("kmer")).distinct()
+    """(kmer bigint): distinct canonical k-mers of all sequences, packed."""
+    return packed_kmers(genomes, [], seq, k).select(F.explode("kmers").alias("kmer")).distinct()
 
 
 def kmer_screen(reads: DataFrame, read: str, seq: str, index: DataFrame, k: int, min_hits: int = 1, min_fraction: float = 0.0) -> DataFrame:
-    """(read, n_kmers, n_hits, matched): how many of a read's distinct canonical k-mers the index holds.
+    """(read, n_kmers, n_hits, matched): how many of a read's distinct canonical k-mers the index of kmer_index holds.
 
-    K-mers shuffle to the index, which is never broadcast; hits are combined by (read) in the tasks.
+    K-mers shuffle to the index as numbers; it is never broadcast by this operator. Hits are combined by read in the tasks and joined to the reads' counts,
+    so a k-mer that isn't in the index costs nothing beyond the join.
     """
-    words = reads.select(F.col(read).alias("read"), sq.canonical_kmers(F.col(seq), k).alias("w")).select("read", F.size("w").alias("n_kmers"), F.explode_outer("w").alias("kmer"))
-    hits = words.join(index.select("kmer", F.lit(1).alias("hit")), "kmer", "left").groupBy("read").agg(F.max("n_kmers").alias("n_kmers"), F.count("hit").alias("n_hits"))
+    words = packed_kmers(reads.select(F.col(read).alias("read"), F.col(seq).alias("seq")), ["read"], "seq", k)
+    hits = words.select("read", F.explode("kmers").alias("kmer")).join(index.select("kmer"), "kmer", "left_semi").groupBy("read").agg(F.count(F.lit(1)).alias("n_hits"))
+    n = F.size("kmers")
+    counts = words.groupBy("read").agg(F.max(n).alias("n_kmers")).join(hits, "read", "left").withColumn("n_hits", F.coalesce("n_hits", F.lit(0).cast("bigint")))
     ok = (F.col("n_hits") >= min_hits) & (F.col("n_hits") >= F.col("n_kmers") * min_fraction) & (F.col("n_hits") > 0)
-    return hits.select(F.col("read").alias(read), "n_kmers", "n_hits", ok.alias("matched"))
+    return counts.select(F.col("read").alias(read), "n_kmers", "n_hits", ok.alias("matched"))
 
 
 def mask_lower(seq_column):
