@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from virelay.functions import seq as sq
+from virelay.operators.joins import lookup_preferring
 
 _KEY = ["seq_id", "group_id"]
 
@@ -22,7 +23,8 @@ def alignment_groups(sam: DataFrame) -> DataFrame:
 
     Primary rows of a read are one group. Secondary rows of unpaired placements (UP) are grouped by their reference and their two positions, or stand
     alone where the mate lies nowhere else; the highest score stays, at ties the first. Those of pairs (CP, DP) are grouped by references, positions,
-    insert and scores; the first row of each mate stays. ``ordinal`` gives the order.
+    insert and scores; the first row of each mate stays. ``ordinal`` gives the order. Errors when rows are read: a read with more than two primary rows,
+    a secondary row of a pair without its own or its mate's score, and such a group with more rows of one mate than of the other.
     """
     s = with_scores(sam)
     lo, hi = F.least("pos", "pnext"), F.greatest("pos", "pnext")
@@ -33,6 +35,17 @@ def alignment_groups(sam: DataFrame) -> DataFrame:
     pair_key = F.concat_ws("|", F.lit("pair"), refs, lo.cast("string"), hi.cast("string"), F.abs("tlen").cast("string"), scores)
     s = s.withColumn("group_id", F.when(~F.col("secondary"), "primary").when(F.col("pair_status") == "UP", up_key).otherwise(pair_key))
     s = s.withColumn("mate", F.when(sq.flag_set(F.col("flag"), sq.READ2), 2).otherwise(1))
+    of_pair = F.col("secondary") & F.col("pair_status").isin("CP", "DP")
+    group, read = Window.partitionBy(*_KEY), Window.partitionBy("seq_id")
+    faults = {
+        "more than two primary rows": F.sum((~F.col("secondary")).cast("int")).over(read) > 2,
+        "a pair without its scores": of_pair & (F.col("as_score").isNull() | F.col("ys_score").isNull()),
+        "unequal numbers of mates": of_pair & (F.sum(F.when(F.col("mate") == 1, 1).otherwise(-1)).over(group) != 0),
+    }
+    checked = F.col("group_id")
+    for what, fault in faults.items():
+        checked = F.when(fault, F.raise_error(F.concat(F.lit(f"{what}: "), "seq_id"))).otherwise(checked)
+    s = s.withColumn("__checked", checked).withColumn("group_id", F.col("__checked")).drop("__checked")
     one = F.when(F.col("pair_status").isin("CP", "DP") | ~F.col("secondary"), F.col("mate")).otherwise(F.lit(0))
     w = Window.partitionBy(*_KEY, one).orderBy(F.coalesce("as_score", F.lit(0)).desc(), "ordinal")
     first = Window.partitionBy(*_KEY, one).orderBy("ordinal")
@@ -61,51 +74,88 @@ def add_missing_mates(sam: DataFrame) -> DataFrame:
     return s.unionByName(made).drop("__n")
 
 
-def paired_hits(sam: DataFrame, genomes: DataFrame) -> DataFrame:
-    """One row for each (seq_id, group_id): the mates side by side, the better placed one's genome first.
+def genome_taxids(genomes: DataFrame, viral: DataFrame | None = None) -> DataFrame:
+    """(rname, taxid) of each genome (genome_id, taxid and, with ``viral``, species_taxid): its taxid if that is in ``viral`` (taxid), else its species if that is, else its taxid."""
+    if viral is None:
+        return genomes.select(F.col("genome_id").alias("rname"), "taxid")
+    return lookup_preferring(genomes.select("genome_id"), genomes, viral).select(F.col("genome_id").alias("rname"), "taxid")
 
-    ``genomes`` has genome_id and taxid. ``genome_id`` and ``taxid`` are those of the mate with the higher norm_score, the forward one at ties;
-    ``*_all`` join both by ``/`` where they differ. The fragment length is null where the genomes do. Starts count from 0.
+
+def _with_taxids(sam: DataFrame, genomes: DataFrame, viral: DataFrame | None) -> DataFrame:
+    """Mapped rows with their genome's taxid; an unknown genome is an error when rows are read."""
+    mapped = sam.where(~sq.flag_set(F.col("flag"), sq.UNMAPPED))
+    found = mapped.join(genome_taxids(genomes, viral).withColumn("__known", F.lit(True)), "rname", "left")
+    known = F.when(F.col("__known"), F.col("taxid")).otherwise(F.raise_error(F.concat(F.lit("unknown genome: "), F.coalesce("rname", F.lit("null")))))
+    return found.withColumn("taxid", known).drop("__known")
+
+
+def _class_of(flag: Column) -> Column:
+    return F.when(sq.flag_set(flag, sq.SUPPLEMENTARY), "supplementary").when(sq.flag_set(flag, sq.SECONDARY), "secondary").otherwise("primary")
+
+
+#: Columns of a mate beside its row's, in the order of the table (fixed values).
+_MATE_COLUMNS = ["best_alignment_score", "next_alignment_score", "edit_distance", "ref_start", "map_qual", "cigar", "query_len", "query_seq", "query_rc", "query_qual"]
+
+
+def _mate_fields() -> list[Column]:
+    """The row's fields as columns of a hit; sequence and qualities in the read's own direction, starts from 0."""
+    rc = sq.flag_set(F.col("flag"), sq.REVERSE)
+    return [
+        F.col("as_score").alias("best_alignment_score"), F.col("xs_score").alias("next_alignment_score"), F.col("nm").alias("edit_distance"), (F.col("pos") - 1).alias("ref_start"),
+        F.col("mapq").alias("map_qual"), F.col("cigar"), F.length("seq").alias("query_len"), F.when(rc, sq.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("query_seq"),
+        rc.alias("query_rc"), F.when(rc, F.reverse("qual")).otherwise(F.col("qual")).alias("query_qual"),
+    ]
+
+
+def paired_hits(sam: DataFrame, genomes: DataFrame, viral: DataFrame | None = None) -> DataFrame:
+    """One row for each placement (seq_id, group_id) of a pair: the 35 columns of the table of paired hits, then group_id and row_no, its least ordinal.
+
+    ``genome_id`` and ``taxid`` are those of the mate with the higher normalised score, the forward one at ties; ``*_all`` have both, forward first, parted by
+    ``/`` where they differ. The fragment length is null where the genomes do, or a mate isn't placed or has no score. Taxids are those of genome_taxids. A pair is secondary if its forward
+    mate is; a lone mate may be supplementary as well.
     """
-    s = sam.join(genomes.select(F.col("genome_id").alias("rname"), "taxid"), "rname", "left")
-    placed = s.where(~sq.flag_set(F.col("flag"), sq.UNMAPPED))
-    side = F.struct("rname", "taxid", "norm_score", (F.col("pos") - 1).alias("ref_start"), "cigar", "as_score", "nm", "seq", "qual", sq.flag_set(F.col("flag"), sq.REVERSE).alias("rc"), "tlen", "mapq", "pair_status")
-    one = placed.groupBy(*_KEY).agg(F.min(F.when(F.col("mate") == 1, side)).alias("f"), F.min(F.when(F.col("mate") == 2, side)).alias("r"))
+    s = _with_taxids(sam, genomes, viral)
+    side = F.struct("rname", "taxid", "norm_score", F.abs("tlen").alias("insert"), "pair_status", _class_of(F.col("flag")).alias("kind"), sq.flag_set(F.col("flag"), sq.SECONDARY).alias("is_secondary"), *_mate_fields())
+    scored = F.col("as_score").isNotNull()
+    one = s.groupBy(*_KEY).agg(
+        *[F.min(F.when((F.col("mate") == m) & scored, F.struct("ordinal", side.alias("m"))))["m"].alias(name) for m, name in ((1, "f"), (2, "r"))], F.min("ordinal").alias("row_no")
+    ).where("f IS NOT NULL OR r IS NOT NULL")
     f, r = F.col("f"), F.col("r")
-    forward = f.isNotNull() & (r.isNull() | (f["norm_score"] >= r["norm_score"]))
-    best = F.when(forward, f).otherwise(r)
+    pair = f.isNotNull() & r.isNotNull()
+    best = F.when(f.isNotNull() & (r.isNull() | (f["norm_score"] >= r["norm_score"])), f).otherwise(r)
 
-    def both(name: str):
+    def both(name: str) -> Column:
         a, b = f[name].cast("string"), r[name].cast("string")
-        return F.when(a.isNull() | b.isNull() | (a == b), F.coalesce(a, b)).otherwise(F.concat_ws("/", a, b))
-
-    def read(x, name):
-        return F.when(x["rc"], sq.reverse_complement(x[name]) if name == "seq" else F.reverse(x[name])).otherwise(x[name])
+        return F.when(pair & (a != b), F.concat_ws("/", a, b)).otherwise(F.coalesce(a, b))
 
+    same = pair & (f["rname"] == r["rname"])
+    kind = F.when(pair, F.when(f["is_secondary"], "secondary").otherwise("primary")).otherwise(F.coalesce(f["kind"], r["kind"]))
     return one.select(
-        *_KEY, best["rname"].alias("genome_id"), both("rname").alias("genome_id_all"), best["taxid"].alias("taxid"), both("taxid").alias("taxid_all"),
-        F.when(f["rname"] == r["rname"], F.abs(best["tlen"])).alias("fragment_length"), F.greatest(f["norm_score"], r["norm_score"]).alias("length_normalized_score"),
-        f["as_score"].alias("best_alignment_score"), r["as_score"].alias("best_alignment_score_rev"), f["nm"].alias("edit_distance"), r["nm"].alias("edit_distance_rev"),
-        f["ref_start"].alias("ref_start"), r["ref_start"].alias("ref_start_rev"), f["rc"].alias("query_rc"), r["rc"].alias("query_rc_rev"),
-        read(f, "seq").alias("query_seq"), read(r, "seq").alias("query_seq_rev"), read(f, "qual").alias("query_qual"), read(r, "qual").alias("query_qual_rev"),
-        best["pair_status"].alias("pair_status"),
+        "seq_id", best["rname"].alias("genome_id"), both("rname").alias("genome_id_all"), best["taxid"].alias("taxid"), both("taxid").alias("taxid_all"),
+        F.when(same, f["insert"]).alias("fragment_length"), f["rname"].alias("genome_id_fwd"), r["rname"].alias("genome_id_rev"), f["taxid"].alias("taxid_fwd"), r["taxid"].alias("taxid_rev"),
+        *[x[c].alias(c + end) for c in _MATE_COLUMNS for x, end in ((f, ""), (r, "_rev"))],
+        f["norm_score"].alias("length_normalized_score_fwd"), r["norm_score"].alias("length_normalized_score_rev"), best["norm_score"].alias("length_normalized_score"),
+        best["pair_status"].alias("pair_status"), kind.alias("classification"), "group_id", "row_no",
     )
 
 
-def long_read_hits(sam: DataFrame, reads: DataFrame, genomes: DataFrame) -> DataFrame:
-    """One row for each mapped alignment, with the read's own (unmasked) sequence turned to the reference's direction.
+def unpaired_hits(sam: DataFrame, genomes: DataFrame, viral: DataFrame | None = None) -> DataFrame:
+    """One row for each mapped alignment of single reads: the 15 columns of the table of unpaired hits, then row_no, its ordinal."""
+    s = _with_taxids(with_scores(sam), genomes, viral)
+    return s.select("seq_id", F.col("rname").alias("genome_id"), "taxid", *_mate_fields(), F.col("norm_score").alias("length_normalized_score"), _class_of(F.col("flag")).alias("classification"), F.col("ordinal").alias("row_no"))
 
-    ``reads`` has seq_id, seq and qual. Classification: supplementary, else secondary, else primary.
+
+def long_read_hits(sam: DataFrame, reads: DataFrame, genomes: DataFrame, viral: DataFrame | None = None) -> DataFrame:
+    """One row for each mapped alignment, with the read's own (unmasked) sequence and qualities, turned if it lies reversed.
+
+    ``reads`` has seq_id, seq and qual. An alignment without its read, or to an unknown genome, is an error when rows are read. Classification: supplementary, else secondary, else primary.
     """
-    mapped = sam.where(~sq.flag_set(F.col("flag"), sq.UNMAPPED)).drop("seq", "qual")
-    s = mapped.join(reads.select("seq_id", "seq", "qual"), "seq_id").join(genomes.select(F.col("genome_id").alias("rname"), "taxid"), "rname", "left")
-    rc = sq.flag_set(F.col("flag"), sq.REVERSE)
-    kind = F.when(sq.flag_set(F.col("flag"), sq.SUPPLEMENTARY), "supplementary").when(sq.flag_set(F.col("flag"), sq.SECONDARY), "secondary").otherwise("primary")
+    whole = reads.select("seq_id", "seq", "qual", F.lit(True).alias("__read"))
+    s = _with_taxids(sam.drop("seq", "qual"), genomes, viral).join(whole, "seq_id", "left")
+    s = s.withColumn("seq_id", F.when(F.col("__read"), F.col("seq_id")).otherwise(F.raise_error(F.concat(F.lit("alignment without its read: "), "seq_id"))))
     return s.select(
-        "seq_id", F.col("rname").alias("genome_id"), "taxid", F.col("mapq").alias("map_qual"), (F.col("pos") - 1).alias("ref_start"), "cigar", F.col("nm").alias("edit_distance"),
-        F.col("as_score").alias("best_alignment_score"), sq.long_read_score(F.col("as_score"), F.length("seq")).alias("length_normalized_score"),
-        F.when(rc, sq.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("query_seq"), rc.alias("query_rc"),
-        F.when(rc, F.reverse("qual")).otherwise(F.col("qual")).alias("query_qual"), F.length("seq").alias("query_len"), kind.alias("classification"),
+        "seq_id", F.col("rname").alias("genome_id"), "taxid", *_mate_fields(), sq.long_read_score(F.col("as_score"), F.length("seq")).alias("length_normalized_score"),
+        _class_of(F.col("flag")).alias("classification"), F.col("ordinal").alias("row_no"),
     )
 
 

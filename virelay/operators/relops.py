@@ -77,15 +77,44 @@ def pad_columns(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in wanted.items() if c not in df.columns})
 
 
-def coerced_equal(c: Column, value: str) -> Column:
-    """Whether a text cell equals a text value once both are read as truth values, else numbers, else text."""
+def _coerced(value: str) -> int | float | str:
+    """A text as a truth value (1 or 0), else a whole number, else a number, else itself."""
+    if value.lower() in ("true", "false"):
+        return int(value.lower() == "true")
+    for kind in (int, float):
+        try:
+            return kind(value)
+        except ValueError:
+            pass
+    return value
+
 
-    def number(x: Column) -> Column:
-        truth = F.when(F.lower(x) == "true", 1.0).when(F.lower(x) == "false", 0.0)
-        return F.coalesce(truth, x.try_cast("double"))
+def coerced_equal(c: Column, value: str) -> Column:
+    """Whether a text cell equals a text value once both are read as truth values, else whole numbers, else numbers, else text.
 
-    a, b = number(c.cast("string")), number(F.lit(value))
-    return F.when(a.isNotNull() & b.isNotNull(), a == b).when(a.isNull() & b.isNull(), c.cast("string") == value).otherwise(F.lit(False))
+    Whole numbers of any size compare exactly, also with numbers written with a point or an exponent; NaN equals nothing.
+    """
+    c, want = c.cast("string"), _coerced(value)
+    if isinstance(want, str):
+        return c == value
+    if isinstance(want, float) and not want.is_integer():
+        whole = F.lit(False)
+    else:
+        digits = F.regexp_replace(F.regexp_replace(F.trim(c, F.lit(" \t\r\n")), "_", ""), r"^([+-]?)0+(?=\d)", "$1")
+        whole = F.regexp_replace(digits, r"^\+|^-(?=0$)", "") == str(int(want))
+    try:
+        as_double = float(want)
+    except OverflowError:
+        as_double = None
+    exact = as_double is not None and as_double == want  # else no number with a point equals it
+    real = F.regexp_replace(F.trim(c, F.lit(" \t\r\n")), "_", "").try_cast("double") == as_double if exact else F.lit(False)
+    truth = F.lower(c)
+    return (
+        F.when(truth.isin("true", "false"), F.lit(want in (0, 1)) & (truth == ("true" if want == 1 else "false")))
+        .when(c.rlike(r"^\s*[+-]?\d+(?:_\d+)*\s*$"), whole)
+        .when(c.rlike(r"(?i)^\s*[+-]?(?:(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:e[+-]?\d+)?|inf|infinity)\s*$"), real)
+        .when(c.isNotNull(), F.lit(False))
+    )
 
 
 def filter_by_value(df: DataFrame, column: str, value: str, keep: bool = True) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from virelay.operators import align, duplicates, hierarchy, joins, relops, tree
 
 
-def hits_from_sam(sam: DataFrame, genomes: DataFrame, threshold: float) -> DataFrame:
-    """Short-read alignments to one row for each placement: groups, score filter, missing mates, pairing."""
-    return align.paired_hits(align.add_missing_mates(align.filter_by_score(sam, threshold)), genomes)
+def hits_from_sam(sam: DataFrame, genomes: DataFrame, threshold: float, viral: DataFrame | None = None) -> DataFrame:
+    """Short-read alignments to one row for each placement: groups, score filter, pairing. A mate that isn't placed needs no row of its own for that."""
+    return align.paired_hits(align.filter_by_score(sam, threshold), genomes, viral)
 
 
 def annotated_hits(alignments: DataFrame, links: DataFrame, sample: str, unclassified: DataFrame | None = None, artificial_root: int | None = 81077) -> DataFrame:

@@ -5,7 +5,7 @@ Text files compressed by gzip can't be split, so a file is one task; rows are sp
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,41 +38,36 @@ def read_profile(spark: SparkSession, path: str) -> DataFrame:
     return read_tsv(spark, path, REPORT_COLUMNS, header=False).withColumn("name", F.trim("name"))
 
 
+def _numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, line_no from 0, line) of text files, which many tasks may read in blocks.
+
+    The lines of a block have consecutive ids in the task that reads it; how many lines lie in the blocks before is summed from one row for each block.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"),
+        F.rtrim(F.col("value"), F.lit("\r")).alias("line"),
+    )
+    blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("first"))
+    before = F.sum("size").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    begin = blocks.select("file", "block", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
+    return lines.join(begin, ["file", "block"]).select("file", (F.col("n") + F.col("shift")).alias("line_no"), "line")
+
+
 def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, record, seq_id, description, seq, qual): records are four lines, in the order of the file.
+    """(file, record, seq_id, description, seq, qual): records are four lines, numbered from 1 in the order of the file.
 
-    The lines of a file are taken four at a time; a record that doesn't look like one, or whose sequence and qualities differ in
-    length, is an error when rows are read. Lines are streamed; no file is held whole.
+    Lines are numbered over the blocks of a file, so a large plain file is read by many tasks; the four lines of a record are combined
+    in the task that has them, and meet by record where a block ends between. A record that doesn't look like one, or whose sequence and qualities differ in
+    length, or a file that ends within one, is an error when rows are read; an empty line at the end is none.
     """
-    def records(batches):
-        import pyarrow as pa
-
-        held: dict[str, list[str]] = {}
-        count: dict[str, int] = {}
-        for b in batches:
-            out: list[tuple] = []
-            for file, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                four = held.setdefault(file, [])
-                four.append(line or "")
-                if len(four) == 4:
-                    head, seq, plus, qual = four
-                    if not head.startswith("@") or not plus.startswith("+") or len(seq) != len(qual):
-                        raise ValueError(f"{file}: record {count.get(file, 0) + 1} isn't FASTQ: {head[:60]}")
-                    name, _, rest = head[1:].partition(" ")
-                    count[file] = count.get(file, 0) + 1
-                    out.append((file, count[file], name, rest or None, seq, qual))
-                    held[file] = []
-            cols = list(zip(*out, strict=True)) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.string(), pa.int64(), *[pa.string()] * 4], strict=True)], ["file", "record", "seq_id", "description", "seq", "qual"])
-        if any(held.values()):
-            raise ValueError(f"files end within a record: {sorted(f for f, v in held.items() if v)}")
-
-    # plain files may be read in several tasks; their lines meet again, in order, in one sorted run for each file
-    block = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")]
-    lines = spark.read.text(path).select(*block, F.rtrim(F.col("value"), F.lit("\r")).alias("line"))
-    lines = lines.repartition("file").sortWithinPartitions("file", "block", "n").select("file", "line")
-    schema = "file string, record bigint, seq_id string, description string, seq string, qual string"
-    return lines.mapInArrow(records, schema)
+    part = F.col("line_no") % 4
+    of = {c: F.max(F.when(part == i, F.col("line"))).alias(c) for i, c in enumerate(("head", "seq", "plus", "qual"))}
+    four = _numbered_lines(spark, path).groupBy("file", (F.floor(F.col("line_no") / 4) + 1).alias("record")).agg(*of.values()).where("head <> '' OR seq IS NOT NULL")
+    ok = F.col("head").startswith("@") & F.col("plus").startswith("+") & (F.length("seq") == F.length("qual"))
+    bad = F.raise_error(F.concat("file", F.lit(": record "), F.col("record").cast("string"), F.lit(" isn't FASTQ: "), F.coalesce(F.substring("head", 1, 60), F.lit(""))))
+    name = F.when(F.coalesce(ok, F.lit(False)), F.regexp_extract("head", r"^@(\S*)", 1)).otherwise(bad)
+    rest = F.nullif(F.regexp_extract("head", r"^@\S*\s+(.*)$", 1), F.lit(""))
+    return four.select("file", "record", name.alias("seq_id"), rest.alias("description"), "seq", "qual")
 
 
 def pair_mates(fwd: DataFrame, rev: DataFrame) -> DataFrame:
@@ -86,9 +81,12 @@ def pair_mates(fwd: DataFrame, rev: DataFrame) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, seq_id, description, seq) of each sequence; lines of a sequence are joined."""
-    raw = spark.read.option("lineSep", ">").text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
-    head = F.rtrim(F.regexp_extract("value", r"^([^\n]*)", 1))
+    """(file, seq_id, description, seq) of each sequence; lines of a sequence are joined.
+
+    A sequence begins at a ``>`` at the start of a line; others belong to headers. A sequence is one row, however long: a row must hold a chromosome.
+    """
+    raw = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"^\s*>", "").alias("value")).where(F.trim("value") != "")
+    head = F.rtrim(F.regexp_extract("value", r"^([^\n]*)", 1), F.lit(" \t\r"))
     return raw.select(
         "file", F.regexp_extract(head, r"^(\S*)", 1).alias("seq_id"), F.nullif(F.regexp_extract(head, r"^\S*\s+(.*)$", 1), F.lit("")).alias("description"),
         F.regexp_replace(F.regexp_extract("value", r"(?s)^[^\n]*\n?(.*)$", 1), r"\s", "").alias("seq"),
@@ -96,7 +94,7 @@ def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The eleven fields, typed, then tags as a map, the tags AS, YS, NM, YT, and ``ordinal``: the order within the file."""
+    """The eleven fields, typed, then tags as a map, the tags AS, XS, YS, NM, YT, and ``ordinal``: the order within the file."""
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ordinal"), "value").where(~F.col("value").startswith("@") & (F.col("value") != ""))
     f = F.split("value", "\t")
     tags = F.transform(F.slice(f, F.lit(12), F.greatest(F.size(f) - 11, F.lit(0))), lambda t: F.split(t, ":", 3))
@@ -106,7 +104,7 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.map_from_entries(F.transform(tags, lambda t: F.struct(t[0], t[2]))).alias("tags"),
     )
     return typed.select(
-        "*", F.col("tags")["AS"].cast("int").alias("as_score"), F.col("tags")["YS"].cast("int").alias("ys_score"), F.col("tags")["NM"].cast("int").alias("nm"), F.col("tags")["YT"].alias("pair_status")
+        "*", F.col("tags")["AS"].cast("int").alias("as_score"), F.col("tags")["XS"].cast("int").alias("xs_score"), F.col("tags")["YS"].cast("int").alias("ys_score"), F.col("tags")["NM"].cast("int").alias("nm"), F.col("tags")["YT"].alias("pair_status")
     )
 
 
@@ -123,6 +121,19 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where("value <> ''").select(f[0].try_cast("bigint").alias("node"), f[1].try_cast("bigint").alias("parent"), F.get(f, F.lit(2)).alias("rank"))
 
 
+def check_nodes(nodes: DataFrame, root: int = 1, artificial: int | None = None) -> DataFrame:
+    """The nodes; an error at once if the root isn't its own parent, or the artificial taxon isn't both a node and a parent."""
+    ids = [root] if artificial is None else [root, artificial]
+    seen = nodes.where(F.col("node").isin(ids) | F.col("parent").isin(ids)).agg(
+        F.count_if((F.col("node") == root) & (F.col("parent") == root)).alias("root"), *[F.count_if(F.col(c) == ids[-1]).alias(c) for c in ("node", "parent")]
+    ).first()
+    if not seen.root:
+        raise TableError(f"root {root} must be its own parent")
+    if not (seen["node"] and seen["parent"]):
+        raise TableError(f"taxon {ids[-1]} must be a node and a parent")
+    return nodes
+
+
 def read_names(spark: SparkSession, path: str) -> DataFrame:
     """(node, name, name_class) of a names dump."""
     f = F.split("value", r"\t\|\t?")
