@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from virelay import schemas
 from virelay.functions import seq as sq
-from virelay.operators import compare, duplicates, hierarchy, joins, reads, relops, tree
+from virelay.operators import align, compare, duplicates, hierarchy, joins, reads, relops, tree
 from virelay.plans import workflows
 from virelay.plans.problems import _LATEST
-from virelay.session import table
+from virelay.session import shared_folder, table
 from virelay.sources import writers
 from virelay.streaming import incremental
 
@@ -54,9 +53,10 @@ def lca_by_read(spark: SparkSession, d: str) -> DataFrame:
 
 
 def taxid_distance(spark: SparkSession, d: str) -> DataFrame:
-    a = table(spark, d, "tab_minimap").select("row_no", F.col("taxid").alias("taxid_1"))
-    b = table(spark, d, "test_infection_db").select("row_no", F.col("virus_tax_id").alias("taxid_2"))
-    return tree.taxid_distance(a.join(b, "row_no"), "taxid_1", "taxid_2", hierarchy.full_paths(_links(spark, d)))
+    """Each alignment's taxid against that of its read's best alignment; all rows of tab_minimap."""
+    best = _best_rows(spark, d).select("seq_id", F.col("taxid").alias("taxid_2"))
+    pairs = table(spark, d, "tab_minimap").select("row_no", "seq_id", F.col("taxid").alias("taxid_1")).join(best, "seq_id", "left")
+    return tree.taxid_distance(pairs.select("row_no", "taxid_1", "taxid_2"), "taxid_1", "taxid_2", hierarchy.full_paths(_links(spark, d)))
 
 
 def taxid_distance_reads(spark: SparkSession, d: str) -> DataFrame:
@@ -128,14 +128,14 @@ def best_per_pair(spark: SparkSession, d: str) -> DataFrame:
     return relops.distinct_on(t, ["l_partkey", "l_suppkey"], [-F.col("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")])
 
 
-def _spent(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").where("o_custkey % 3 <> 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    """How many pairs each read is in as the first; reads and pairs have names that the other side lacks."""
+    return table(spark, d, "duplicate_group").where("query_name IS NOT NULL").groupBy("query_name").agg(F.count(F.lit(1)).alias("n_pairs"))
 
 
 def _joined(how: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        left = table(spark, d, "customer").where("c_custkey % 5 <> 0").select("c_custkey", "c_name")
-        return joins.checked_join(left, _spent(spark, d), "c_custkey", how)
+        return joins.checked_join(_reads(spark, d).select("query_name", "sample"), _pairs(spark, d), "query_name", how)
 
     return run
 
@@ -146,11 +146,11 @@ def join_strict(spark: SparkSession, d: str) -> DataFrame:
 
 
 def join_semi(spark: SparkSession, d: str) -> DataFrame:
-    return joins.rows_with(table(spark, d, "customer").select("c_custkey", "c_name"), _spent(spark, d), "c_custkey")
+    return joins.rows_with(_reads(spark, d).select("query_name", "sample"), _pairs(spark, d), "query_name")
 
 
 def join_anti(spark: SparkSession, d: str) -> DataFrame:
-    return joins.rows_without(table(spark, d, "customer").select("c_custkey", "c_name"), _spent(spark, d), "c_custkey")
+    return joins.rows_without(_reads(spark, d).select("query_name", "sample"), _pairs(spark, d), "query_name")
 
 
 def _alignments(spark: SparkSession, d: str) -> DataFrame:
@@ -251,7 +251,7 @@ def kmer_screen(spark: SparkSession, d: str) -> DataFrame:
 
 def low_complexity(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "tab_minimap").where("query_seq IS NOT NULL")
-    e = t.select(F.floor(sq.linguistic_entropy(F.col("query_seq")) * 20).alias("bin"))
+    e = t.select(F.floor(F.round(sq.linguistic_entropy(F.col("query_seq")), 9) * 20).alias("bin"))
     return e.groupBy("bin").agg(F.count(F.lit(1)).alias("n_reads"))
 
 
@@ -292,7 +292,9 @@ def fastq_records(spark: SparkSession, d: str) -> DataFrame:
 
 def group_json(spark: SparkSession, d: str) -> DataFrame:
     per = table(spark, d, "read_entry").where("sample IS NOT NULL AND genome_id IS NOT NULL").groupBy("genome_id", "sample").agg(F.to_json(F.struct(F.count(F.lit(1)).alias("n"))).alias("payload"))
-    return writers.group_json(per, "genome_id", "sample", "payload").select("genome_id", F.size(F.from_json("json", "map<string,map<string,string>>")).alias("n_samples"))
+    return writers.group_json(per, "genome_id", "sample", "payload").select("genome_id", F.explode(F.from_json("json", "map<string,map<string,string>>")).alias("sample", "entry")).select(
+        "genome_id", "sample", F.col("entry")["n"].cast("bigint").alias("n_reads"), F.col("entry")["sample"].alias("own_sample"), F.col("entry")["group"].alias("own_group")
+    )
 
 
 def annotated_hits(spark: SparkSession, d: str) -> DataFrame:
@@ -302,15 +304,61 @@ def annotated_hits(spark: SparkSession, d: str) -> DataFrame:
     return workflows.annotated_hits(t, _links(spark, d), "all", None, ARTIFICIAL).groupBy("taxid_lca_combined").agg(F.count(F.lit(1)).alias("n_alignments"), F.sum("prim_align_row_no").alias("row_sum"))
 
 
+def _sam(spark: SparkSession, d: str) -> DataFrame:
+    """The alignments as records of a SAM file, sequences in the reference's direction."""
+    t = table(spark, d, "tab_minimap").where("seq_id IS NOT NULL AND genome_id IS NOT NULL AND taxid IS NOT NULL AND query_seq IS NOT NULL AND best_alignment_score IS NOT NULL AND ref_start IS NOT NULL")
+    rc = F.coalesce("query_rc", F.lit(False))
+    flag = F.when(rc, sq.REVERSE).otherwise(0) + F.when(F.col("classification") == "supplementary", sq.SUPPLEMENTARY).when(F.col("classification") == "secondary", sq.SECONDARY).otherwise(0)
+    return t.select(
+        "seq_id", flag.alias("flag"), F.col("genome_id").alias("rname"), (F.col("ref_start") + 1).alias("pos"), F.col("map_qual").alias("mapq"), "cigar", F.lit("*").alias("rnext"), F.lit(0).alias("pnext"),
+        F.lit(0).alias("tlen"), F.when(rc, sq.reverse_complement(F.col("query_seq"))).otherwise(F.col("query_seq")).alias("seq"), F.when(rc, F.reverse("query_qual")).otherwise(F.col("query_qual")).alias("qual"),
+        F.col("best_alignment_score").alias("as_score"), F.col("next_alignment_score").alias("xs_score"), F.lit(None).cast("int").alias("ys_score"), F.col("edit_distance").alias("nm"), F.lit("UU").alias("pair_status"), F.col("row_no").alias("ordinal"),
+    )
+
+
+def _genomes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Genomes with two taxids, and the taxids that count as viral."""
+    g = table(spark, d, "tab_minimap").where("genome_id IS NOT NULL AND taxid IS NOT NULL").groupBy("genome_id").agg(F.min("taxid").alias("taxid"), F.max("taxid").alias("species_taxid"))
+    return g, table(spark, d, "test_infection_db").select(F.col("virus_tax_id").alias("taxid"))
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
+
+
+def unpaired_hits(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(align.unpaired_hits(_sam(spark, d), *_genomes(spark, d)))
+
+
+def paired_hits(spark: SparkSession, d: str) -> DataFrame:
+    """The two best alignments of each read as a pair; a read with one alignment has no mate."""
+    s = _sam(spark, d)
+    two = s.withColumn("mate", F.row_number().over(Window.partitionBy("seq_id").orderBy(F.col("as_score").desc(), "ordinal"))).where("mate <= 2")
+    first, n = Window.partitionBy("seq_id"), F.count(F.lit(1)).over(Window.partitionBy("seq_id"))
+    other = {c: F.sum(c).over(first) - F.col(c) for c in ("pos", "as_score")}
+    pair = n == 2
+    flag = F.col("flag").bitwiseAND(sq.REVERSE) + sq.PAIRED + F.when(F.col("mate") == 1, sq.READ1).otherwise(sq.READ2) + F.when(pair, 0).otherwise(sq.MATE_UNMAPPED)
+    sam = two.withColumns({
+        "flag": flag.cast("int"), "pnext": F.when(pair, other["pos"]).otherwise(F.col("pos")).cast("int"), "tlen": F.when(pair, other["pos"] - F.col("pos")).otherwise(0).cast("int"),
+        "ys_score": F.when(pair, other["as_score"]).cast("int"), "pair_status": F.when(pair, "CP").otherwise("UP"),
+    }).drop("mate")
+    genomes, viral = _genomes(spark, d)
+    return _rounded(workflows.hits_from_sam(sam, genomes, 20.0, viral).drop("group_id"))
+
+
 def streamed_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Alignments of each genome and day, counted by a stream over the table's files; redelivered rows are in."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-")
-    at = f"{base}/stream-{uuid.uuid4().hex}"
+    """Alignments of each genome and day, counted by a stream over the table's files; redelivered rows are in.
+
+    Windows leave the state 90 days after the latest time seen, more than any row of the table is late. Each batch writes the windows it changed, to the
+    shared folder; of a window the highest count is the last.
+    """
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     rows = incremental.stream_table(spark, d, "tab_minimap", 8).where("genome_id IS NOT NULL").withColumn("aligned_at", F.col("aligned_at").cast("timestamp"))
-    counts = incremental.windowed_counts(rows, "genome_id", "aligned_at", "1 day", "3650 days")
-    q = counts.writeStream.outputMode("complete").option("checkpointLocation", at + "/state").trigger(availableNow=True).foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(at + "/out")).start()
+    counts = incremental.windowed_counts(rows, "genome_id", "aligned_at", "1 day", "90 days")
+    q = counts.writeStream.outputMode("update").option("checkpointLocation", at + "/state").trigger(availableNow=True).foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{at}/out/batch={i}")).start()
     q.awaitTermination()
-    return spark.read.parquet(at + "/out").select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "genome_id", "n_rows")
+    out = spark.read.parquet(at + "/out").groupBy("window_start", "genome_id").agg(F.max("n_rows").alias("n_rows"))
+    return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "genome_id", "n_rows")
 
 
 QUERIES = {
@@ -319,7 +367,7 @@ QUERIES = {
         clade_counts, lca_by_read, taxid_distance, taxid_distance_reads, raise_rank, infection_status, nearest_marked, duplicate_reads, duplicate_groups, top_duplicate_groups, rank_fraction,
         best_per_pair, join_strict, join_semi, join_anti, join_semi_taxa, join_anti_taxa, join_strict_parts, projections, filter_value, union_headers, unique_rows, chunks, missing_hosts, read_counts, qc_basic, qc_lengths,
         qc_quality_by_base, qc_quality_by_read, strand_sequences, kmer_screen, low_complexity, index_changes, parent_transitions, species_deltas, metric_changes,
-        schema_violations, fastq_records, group_json, annotated_hits, streamed_counts,
+        schema_violations, fastq_records, group_json, annotated_hits, unpaired_hits, paired_hits, streamed_counts,
     )
 }
 QUERIES |= {f"join_{how}": _joined(how) for how in ("inner", "left", "right", "outer")}
@@ -364,12 +412,20 @@ _GROUPS = f"""WITH RECURSIVE {_READS},
   member AS (SELECT p.query_name, p.g, p.q, c.c FROM placed p JOIN nodes n ON n.g = p.g AND n.lo = p.lo AND n.hi IS NOT DISTINCT FROM p.hi JOIN comp c ON c.id = n.id),
   ex AS (SELECT c, first(query_name ORDER BY q DESC, query_name) exemplar, first(g) genome, count(*) group_size FROM member GROUP BY c),
   pairs AS (SELECT c, sum(w) w FROM (SELECT c.c, l.w FROM links l JOIN comp c ON c.id = l.a WHERE l.a < l.b UNION ALL SELECT c.c, n.n * (n.n - 1) / 2 FROM nodes n JOIN comp c USING (id)) GROUP BY c)"""
-_CUST = "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 5 <> 0"
-_SPENT = "SELECT o_custkey c_custkey, count(*) n_orders FROM orders WHERE o_custkey % 3 <> 0 GROUP BY o_custkey"
+_PAIRS = "pairs_ AS (SELECT query_name, count(*) n_pairs FROM duplicate_group WHERE query_name IS NOT NULL GROUP BY query_name)"
 _PHRED = "[ascii(x) - 33 for x in string_split(query_qual, '')]"
 _RC = "translate(reverse(query_seq), 'ACGTUNRYSWKMBDHVacgtunryswkmbdhv', 'TGCAANYRSWMKVHDBtgcaanyrswmkvhdb')"
 
 
+_FIELDS = "best_alignment_score, next_alignment_score, edit_distance, ref_start, map_qual, cigar, query_len, query_seq, query_rc, query_qual"
+_HITS = """viral AS (SELECT DISTINCT virus_tax_id v FROM test_infection_db WHERE virus_tax_id IS NOT NULL),
+      genome AS (SELECT genome_id, min(taxid) t, max(taxid) s FROM tab_minimap WHERE genome_id IS NOT NULL AND taxid IS NOT NULL GROUP BY genome_id),
+      hit AS (SELECT seq_id, genome_id, CASE WHEN t IN (SELECT v FROM viral) THEN t WHEN s IN (SELECT v FROM viral) THEN s ELSE t END taxid, best_alignment_score, next_alignment_score, edit_distance, ref_start, map_qual, cigar,
+        CAST(length(query_seq) AS INT) query_len, query_seq, coalesce(query_rc, false) query_rc, query_qual, CASE WHEN length(query_seq) <= 1 THEN 0 ELSE best_alignment_score / ln(length(query_seq)) END norm,
+        CASE WHEN classification IN ('supplementary', 'secondary') THEN classification ELSE 'primary' END classification, row_no
+        FROM tab_minimap JOIN genome USING (genome_id) WHERE seq_id IS NOT NULL AND taxid IS NOT NULL AND query_seq IS NOT NULL AND best_alignment_score IS NOT NULL AND ref_start IS NOT NULL)"""
+
+
 def _at(t: str) -> str:
     return f"SELECT DISTINCT taxid FROM test_virus_db WHERE taxid IS NOT NULL AND loaded_at <= TIMESTAMP '{t}' AND (deleted_at IS NULL OR deleted_at > TIMESTAMP '{t}')"
 
@@ -386,8 +442,8 @@ ORACLE = {
       SELECT u.g "group", u.a taxid, coalesce(l.p, 1) parent_taxid, sum(CASE WHEN u.a = u.taxid THEN t ELSE 0 END) reads_direct_total, sum(CASE WHEN u.a = u.taxid THEN u.u ELSE 0 END) reads_direct_dedup,
         sum(t) reads_clade_total, sum(u.u) reads_clade_dedup FROM up u JOIN links l ON l.taxid = u.a GROUP BY ALL""",
     "lca_by_read": f"WITH RECURSIVE {_LATEST}, {_lca_sql(_ROWS, _UNC)} SELECT * FROM lca",
-    "taxid_distance": f"""WITH RECURSIVE {_LATEST},
-      j AS (SELECT a.row_no, a.taxid taxid_1, b.virus_tax_id taxid_2, x.path p1, y.path p2 FROM tab_minimap a JOIN test_infection_db b USING (row_no) LEFT JOIN tree x ON x.taxid = a.taxid LEFT JOIN tree y ON y.taxid = b.virus_tax_id),
+    "taxid_distance": f"""WITH RECURSIVE {_LATEST}, {_BEST},
+      j AS (SELECT a.row_no, a.taxid taxid_1, b.taxid taxid_2, x.path p1, y.path p2 FROM tab_minimap a LEFT JOIN best b USING (seq_id) LEFT JOIN tree x ON x.taxid = a.taxid LEFT JOIN tree y ON y.taxid = b.taxid),
       s AS (SELECT *, len([v for v in p1 if list_contains(p2, v)]) k FROM j)
       SELECT row_no, taxid_1, taxid_2, CASE WHEN k > 0 THEN CAST(len(p1) - k AS INT) END distance_1, CASE WHEN k > 0 THEN CAST(len(p2) - k AS INT) END distance_2 FROM s""",
     "taxid_distance_reads": f"""WITH RECURSIVE {_LATEST}, {_lca_sql(_ROWS, _UNC)},
@@ -403,9 +459,9 @@ ORACLE = {
     "rank_fraction": "SELECT row_no, seq_id, CAST(rank AS INT) rank, round(fraction, 6) fraction FROM (SELECT row_no, seq_id, dense_rank() OVER (PARTITION BY seq_id ORDER BY best_alignment_score DESC) rank, best_alignment_score / max(best_alignment_score) OVER (PARTITION BY seq_id) fraction FROM tab_minimap WHERE seq_id IS NOT NULL AND best_alignment_score IS NOT NULL) WHERE rank <= 5 AND (rank = 1 OR fraction >= 0.9)",
     "best_per_pair": "SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) r FROM lineitem) WHERE r = 1",
     "join_strict": "SELECT n_nationkey, n_name, r_regionkey, r_name FROM nation JOIN region ON r_regionkey = n_regionkey",
-    "join_semi": f"SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT c_custkey FROM ({_SPENT}))",
-    "join_anti": f"SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM ({_SPENT}))",
-    **{f"join_{how}": f"SELECT coalesce(a.c_custkey, b.c_custkey) c_custkey, a.c_name, b.n_orders FROM ({_CUST}) a {how if how != 'outer' else 'full'} JOIN ({_SPENT}) b ON a.c_custkey = b.c_custkey" for how in ("inner", "left", "right", "outer")},
+    "join_semi": f"WITH {_READS}, {_PAIRS} SELECT query_name, sample FROM reads_ WHERE query_name IN (SELECT query_name FROM pairs_)",
+    "join_anti": f"WITH {_READS}, {_PAIRS} SELECT query_name, sample FROM reads_ WHERE query_name NOT IN (SELECT query_name FROM pairs_)",
+    **{f"join_{how}": f"WITH {_READS}, {_PAIRS} SELECT coalesce(a.query_name, b.query_name) query_name, a.sample, b.n_pairs FROM reads_ a {how if how != 'outer' else 'full'} JOIN pairs_ b ON a.query_name = b.query_name" for how in ("inner", "left", "right", "outer")},
     "join_strict_parts": "SELECT l_orderkey, l_linenumber, p_partkey, p_name FROM lineitem JOIN part ON p_partkey = l_partkey",
     "join_semi_taxa": "SELECT row_no, taxid FROM tab_minimap WHERE taxid IN (SELECT taxid FROM test_virus_db WHERE taxid IS NOT NULL)",
     "join_anti_taxa": "SELECT row_no, taxid FROM tab_minimap a WHERE NOT EXISTS (SELECT 1 FROM test_virus_db v WHERE v.taxid = a.taxid)",
@@ -424,6 +480,25 @@ ORACLE = {
     "qc_quality_by_base": f"SELECT sample, CAST(p AS INT) \"position\", round(avg(q), 4) mean_phred_score FROM (SELECT sample, unnest({_PHRED}) q, unnest(range(1, length(query_qual) + 1)) p FROM tab_minimap WHERE length(query_qual) > 0) GROUP BY sample, p",
     "qc_quality_by_read": f"SELECT sample, CAST(floor(CASE WHEN length(query_qual) > 0 THEN list_avg({_PHRED}) ELSE 0 END) AS BIGINT) mean_phred_score, count(*) n_sequences FROM tab_minimap WHERE query_qual IS NOT NULL GROUP BY ALL",
     "strand_sequences": f"SELECT row_no, CASE WHEN query_rc THEN {_RC} ELSE query_seq END read_seq, round(CASE WHEN query_len <= 1 THEN 0 ELSE best_alignment_score / ln(query_len) END, 6) score, round(CASE WHEN length(query_qual) > 0 THEN list_avg({_PHRED}) ELSE 0 END, 6) mean_phred FROM tab_minimap WHERE query_seq IS NOT NULL",
+    "low_complexity": """WITH w AS (SELECT row_no, unnest([substring(upper(query_seq), i, 3) for i in range(1, length(query_seq) - 1)]) w FROM tab_minimap WHERE query_seq IS NOT NULL),
+      c AS (SELECT row_no, sum(c) n, sum(c * log2(c)) s FROM (SELECT row_no, w, count(*) c FROM w GROUP BY ALL) GROUP BY row_no)
+      SELECT CAST(floor(round((log2(n) - s / n) / log2(least(n, 64)), 9) * 20) AS BIGINT) bin, count(*) n_reads
+      FROM tab_minimap t LEFT JOIN (SELECT * FROM c WHERE n >= 2) c USING (row_no) WHERE query_seq IS NOT NULL GROUP BY ALL""",
+    "schema_violations": """WITH d AS (SELECT genome_id g, exemplar_name e, group_size n, pairwise_match_frac f FROM duplicate_group),
+      v AS (SELECT 'prim_align_genome_id_all' c, 'null' p, count(*) FILTER (WHERE g IS NULL) n FROM d
+        UNION ALL SELECT 'prim_align_genome_id_all', 'pattern', count(*) FILTER (WHERE NOT regexp_full_match(g, '[^/]+(/[^/]+)?')) FROM d
+        UNION ALL SELECT 'prim_align_dup_count', 'null', count(*) FILTER (WHERE n IS NULL) FROM d
+        UNION ALL SELECT 'prim_align_dup_count', 'below 1', count(*) FILTER (WHERE n < 1) FROM d
+        UNION ALL SELECT 'prim_align_dup_pairwise_match_frac', 'null', count(*) FILTER (WHERE f IS NULL) FROM d
+        UNION ALL SELECT 'prim_align_dup_pairwise_match_frac', 'below 0', count(*) FILTER (WHERE f < 0) FROM d
+        UNION ALL SELECT 'prim_align_dup_pairwise_match_frac', 'above 1', count(*) FILTER (WHERE f > 1) FROM d
+        UNION ALL SELECT 'prim_align_dup_exemplar', 'repeated key', count(*) FROM (SELECT e FROM d GROUP BY e HAVING count(*) > 1))
+      SELECT c "column", p problem, n n_rows FROM v WHERE n > 0""",
+    "kmer_screen": """WITH r AS (SELECT row_no, upper(query_seq) s, classification FROM tab_minimap WHERE query_seq IS NOT NULL),
+      w AS (SELECT row_no, classification, w FROM (SELECT row_no, classification, unnest([substring(s, i, 24) for i in range(1, length(s) - 22)]) w FROM r) WHERE NOT regexp_matches(w, '[^ACGT]')),
+      k AS (SELECT DISTINCT row_no, classification, least(w, translate(reverse(w), 'ACGT', 'TGCA')) kmer FROM w),
+      i AS (SELECT DISTINCT kmer FROM k WHERE classification = 'supplementary')
+      SELECT r.row_no, CAST(count(k.kmer) AS INT) n_kmers, count(i.kmer) n_hits, count(i.kmer) > 0 matched FROM r LEFT JOIN k USING (row_no) LEFT JOIN i ON i.kmer = k.kmer GROUP BY r.row_no""",
     "index_changes": f"WITH a AS ({_at('2025-01-01')}), b AS ({_at('2025-07-01')}) SELECT taxid, 'lost' change FROM a WHERE taxid NOT IN (SELECT taxid FROM b) UNION ALL SELECT taxid, 'gained' FROM b WHERE taxid NOT IN (SELECT taxid FROM a)",
     "parent_transitions": """WITH v AS (SELECT taxid, first(parent_taxid ORDER BY loaded_at, expected_status_jabberwocks NULLS FIRST, parent_taxid NULLS FIRST) o, first(parent_taxid ORDER BY loaded_at DESC, expected_status_jabberwocks DESC NULLS LAST, parent_taxid DESC NULLS LAST) n FROM test_virus_db WHERE taxid IS NOT NULL GROUP BY taxid)
       SELECT o old_value, n new_value, count(*) n FROM v WHERE o IS DISTINCT FROM n GROUP BY ALL""",
@@ -432,6 +507,16 @@ ORACLE = {
     "annotated_hits": f"""WITH RECURSIVE {_LATEST}, {_lca_sql(_ROWS, None, only_combined=True)}
       SELECT taxid_lca_combined, count(*) n_alignments, CAST(sum(t.row_no) AS BIGINT) row_sum FROM lca JOIN tab_minimap t USING (seq_id) WHERE t.classification = 'primary' AND t.taxid IS NOT NULL AND t.best_alignment_score IS NOT NULL GROUP BY ALL""",
     "streamed_counts": "SELECT strftime(aligned_at, '%Y-%m-%d') \"day\", genome_id, count(*) n_rows FROM tab_minimap WHERE genome_id IS NOT NULL AND aligned_at IS NOT NULL GROUP BY ALL",
-    "group_json": "SELECT genome_id, CAST(count(DISTINCT sample) AS INT) n_samples FROM read_entry WHERE genome_id IS NOT NULL AND sample IS NOT NULL GROUP BY genome_id",
+    "group_json": "SELECT genome_id, sample, count(*) n_reads, sample own_sample, genome_id own_group FROM read_entry WHERE genome_id IS NOT NULL AND sample IS NOT NULL GROUP BY ALL",
+    "unpaired_hits": f"""WITH {_HITS} SELECT seq_id, genome_id, taxid, {_FIELDS}, round(norm, 6) length_normalized_score, classification, row_no FROM hit""",
+    "paired_hits": f"""WITH {_HITS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY best_alignment_score DESC, row_no) m FROM hit),
+      a AS (SELECT * FROM ranked WHERE m = 1), b AS (SELECT * FROM ranked WHERE m = 2)
+      SELECT a.seq_id, CASE WHEN b.norm > a.norm THEN b.genome_id ELSE a.genome_id END genome_id, CASE WHEN a.genome_id <> b.genome_id THEN concat(a.genome_id, '/', b.genome_id) ELSE a.genome_id END genome_id_all,
+        CASE WHEN b.norm > a.norm THEN b.taxid ELSE a.taxid END taxid, CASE WHEN a.taxid <> b.taxid THEN concat(a.taxid, '/', b.taxid) ELSE CAST(a.taxid AS VARCHAR) END taxid_all,
+        CASE WHEN a.genome_id = b.genome_id THEN abs(a.ref_start - b.ref_start) END fragment_length, a.genome_id genome_id_fwd, b.genome_id genome_id_rev, a.taxid taxid_fwd, b.taxid taxid_rev,
+        {", ".join(f"a.{c}, b.{c} {c}_rev" for c in _FIELDS.split(", "))},
+        round(a.norm, 6) length_normalized_score_fwd, round(b.norm, 6) length_normalized_score_rev, round(greatest(a.norm, b.norm), 6) length_normalized_score,
+        CASE WHEN b.m IS NULL THEN 'UP' ELSE 'CP' END pair_status, 'primary' classification, least(a.row_no, b.row_no) row_no
+      FROM a LEFT JOIN b USING (seq_id) WHERE greatest(a.norm, b.norm) >= 20""",
     "fastq_records": f"WITH {_BEST} SELECT concat('@', t.seq_id, chr(10), t.query_seq, chr(10), '+', chr(10), t.query_qual) \"value\" FROM best b JOIN tab_minimap t USING (row_no) WHERE t.query_seq IS NOT NULL AND t.query_qual IS NOT NULL",
 }
