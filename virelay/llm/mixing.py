@@ -73,7 +73,8 @@ def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", seed: int =
     its share within max_repeats gives what it can; other sources don't make up for it. Documents without tokens have no size and no
     uses. Documents of a null source belong to the corpus, not to any mix. Results don't depend on the order of rows.
 
-    Documents of a (mix, source) are spread over buckets of about ``bucket_rows``; each bucket rounds its own in a task and
+    Only documents with tokens and a fractional rest are rounded; all others are settled at once. Those of a (mix, source) are spread over
+    buckets of about ``bucket_rows``, counted from just them; each bucket rounds its own in a task and
     leaves one residual at most; residuals are rounded by ``fan_in`` buckets together, level by level, so no task ever gets
     all documents of a large source.
 
@@ -83,13 +84,14 @@ def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", seed: int =
     docs = cut_lineage(docs.select(F.col(doc_id).alias("doc_id"), "source", F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens")))
     sizes = docs.groupBy("source").agg(F.count_if(F.col("n_tokens") > 0).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
     rates = cut_lineage(source_rates(sizes, targets))
-    known = rates.agg(F.count(F.lit(1)).alias("n"), F.max("n_docs").alias("most")).first()
+    fraction = F.col("rate") - F.floor("rate")
+    known = rates.agg(F.sum(F.octet_length("mix_id") + F.octet_length("source") + 64).alias("bytes"), F.max(F.when(fraction > 0, F.col("n_docs"))).alias("most")).first()
     buckets = max(1, math.ceil((known.most or 0) / bucket_rows))
     use = rates.select("mix_id", "source", "rate", F.ceil(F.greatest(F.lit(1), "n_docs") / bucket_rows).cast("int").alias("buckets"))
-    state = docs.join(broadcast_if_small(use, known.n), "source").select(
+    every = docs.join(broadcast_if_small(use, known.bytes), "source").select(
         "mix_id", "source", "doc_id", "n_tokens",
         F.when(F.col("n_tokens") > 0, F.floor("rate")).otherwise(F.lit(0)).cast("int").alias("base"),
-        F.when(F.col("n_tokens") > 0, F.col("rate") - F.floor("rate")).otherwise(F.lit(0.0)).alias("p"),
+        F.when(F.col("n_tokens") > 0, fraction).otherwise(F.lit(0.0)).alias("p"),
         F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("buckets")).cast("int").alias("bucket"),
     )
     schema = "mix_id string, source string, doc_id " + dict(docs.dtypes)["doc_id"] + ", n_tokens bigint, base int, p double, bucket int"
@@ -101,17 +103,15 @@ def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", seed: int =
             rng = np.random.default_rng(zlib.crc32(key.encode()))
             order = rng.permutation(len(f))
             f = f.iloc[order].reset_index(drop=True)
-            w = np.maximum(f["n_tokens"].to_numpy(float), 1e-9)
-            return f.assign(p=pivot(f["p"].to_numpy(float), w, rng))
+            return f.assign(p=pivot(f["p"].to_numpy(float), f["n_tokens"].to_numpy(float), rng))
 
         return run
 
     fractional = (F.col("p") > 0) & (F.col("p") < 1)
-    settled, level = None, 0
+    state, settled, level = every.where(fractional), every.where(~fractional), 0
     while True:
         state = cut_lineage(state.groupBy("mix_id", "source", "bucket").applyInPandas(rounder(level), schema))
-        part = state.where(~fractional)
-        settled = part if settled is None else settled.unionByName(part)
+        settled = settled.unionByName(state.where(~fractional))
         if buckets == 1:
             break
         level, buckets = level + 1, math.ceil(buckets / fan_in)
