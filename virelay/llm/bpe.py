@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Text of one pass through the masks and matrices.
 PASS_BYTES = 4_000_000
+#: Pieces of more bytes, texts without spaces, are merged by rank instead of in a matrix.
+LONG_BYTES = 1_024
 
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 _NONE = np.int32(2**31 - 1)
@@ -38,8 +41,6 @@ def _classes() -> np.ndarray:
 class Vocabulary:
     """Byte ids, and the merges as a hash table from pairs of ids to rank and merged id."""
 
-    BITS = 18
-
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
@@ -54,8 +55,9 @@ class Vocabulary:
         right = np.array([vocab[b] for _, b in merges], np.uint64)
         self.merged = np.array([vocab[a + b] for a, b in merges], np.int32)
         keys = (left << np.uint64(32)) | right
-        self.keys = np.full(1 << self.BITS, np.uint64(2**64 - 1))
-        self.ranks = np.full(1 << self.BITS, _NONE, np.int32)
+        self.bits = max(4, (4 * len(keys)).bit_length())  # at most a quarter of the table is filled
+        self.keys = np.full(1 << self.bits, np.uint64(2**64 - 1))
+        self.ranks = np.full(1 << self.bits, _NONE, np.int32)
         todo, slot = np.arange(len(keys)), self._slot(keys)
         self.probes = 0
         while len(todo):
@@ -66,11 +68,11 @@ class Vocabulary:
             self.ranks[slot[put]] = todo[put]
             rest = np.ones(len(todo), bool)
             rest[put] = False
-            todo, slot = todo[rest], (slot[rest] + 1) & ((1 << self.BITS) - 1)
+            todo, slot = todo[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
             self.probes += 1
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * _P) >> np.uint64(64 - self.BITS)).astype(np.int64)
+        return ((keys * _P) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids; _NONE where they don't merge or an id is negative."""
@@ -86,7 +88,7 @@ class Vocabulary:
             hit = there == keys[todo]
             out[todo[hit]] = self.ranks[slot[hit]]
             go = ~hit & (self.ranks[slot] != _NONE)
-            todo, slot = todo[go], (slot[go] + 1) & ((1 << self.BITS) - 1)
+            todo, slot = todo[go], (slot[go] + 1) & ((1 << self.bits) - 1)
         return out
 
 
@@ -185,6 +187,57 @@ def _merge(ids: np.ndarray, v: Vocabulary) -> list[tuple[np.ndarray, np.ndarray]
     return done
 
 
+def _merge_long(ids: np.ndarray, size: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """BPE of rows that follow one another in ``ids``: (ids left, how many of each row). For rows so long that rounds over all of their places would cost too much.
+
+    Ranks are taken in ascending order, for all rows at once; a round looks only at the places whose pair has that rank, from left to right without
+    overlap. That is the order of _merge, as a merge makes only pairs of higher rank. Places are linked to their neighbours instead of compacted.
+    """
+    n = len(ids)
+    ids, row = ids.copy(), np.repeat(np.arange(len(size)), size)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    ends = np.cumsum(size)
+    after[ends - 1] = before[ends - size] = -1
+    rank = np.full(n, _NONE, np.int32)
+    waiting: dict[int, list[np.ndarray]] = {}
+    queue: list[int] = []
+
+    def put(places: np.ndarray) -> None:
+        """Look up the pairs that begin at these places and let them wait for their ranks."""
+        to = after[places]
+        rank[places] = np.where(to >= 0, v.rank(ids[places], ids[np.maximum(to, 0)]), _NONE)
+        places = places[rank[places] != _NONE]
+        places = places[np.argsort(rank[places], kind="stable")]
+        for part in np.split(places, np.flatnonzero(np.diff(rank[places])) + 1):
+            if len(part):
+                r = int(rank[part[0]])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(queue, r)
+                waiting[r].append(part)
+
+    put(np.arange(n))
+    while queue:
+        r = heapq.heappop(queue)
+        at = np.unique(np.concatenate(waiting.pop(r)))
+        at = at[(rank[at] == r) & (ids[at] >= 0)]
+        if not len(at):
+            continue
+        # in a run of places that overlap every second one merges
+        chained = np.r_[False, after[at[:-1]] == at[1:]]
+        begin = np.maximum.accumulate(np.where(chained, 0, np.arange(len(at))))
+        at = at[(np.arange(len(at)) - begin) % 2 == 0]
+        gone = after[at]
+        ids[at], ids[gone], rank[gone] = v.merged[r], -1, _NONE
+        after[at] = after[gone]
+        there = after[at] >= 0
+        before[after[at][there]] = at[there]
+        left = before[at]
+        put(np.unique(np.r_[at, left[left >= 0]]))
+    left = ids >= 0
+    return ids[left], np.bincount(row[left], minlength=len(size))
+
+
 def _flat(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All positions of the spans, one after the other."""
     end = np.cumsum(size)
@@ -224,7 +277,12 @@ def _encode(b: np.ndarray, offsets: np.ndarray, v: Vocabulary) -> tuple[np.ndarr
     first, length = start[rep], size[rep]
     count, parts = np.zeros(len(rep), np.int64), []
     bucket = np.ceil(np.log2(np.maximum(length, 2))).astype(int)
-    for k in np.unique(bucket):
+    long = np.flatnonzero(length > LONG_BYTES)
+    if len(long):
+        flat, count[long] = _merge_long(v.byte_ids[b[_flat(first[long], length[long])]], length[long], v)
+        parts.append((long, flat))
+        bucket[long] = -1
+    for k in np.unique(bucket[bucket >= 0]):
         mine = np.flatnonzero(bucket == k)
         most = max(1, 2_000_000 >> int(k))
         for i in range(0, len(mine), most):
