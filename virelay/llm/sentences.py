@@ -9,22 +9,24 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Layout of the scans in units of the boxes: left edge of the first column, distance of columns, and the indents
-#: from which a line is a paragraph's first, an advert's or a headline's; a box wider than WIDE holds two columns.
-COLUMN_LEFT, COLUMN_PITCH, PARAGRAPH, ADVERT, HEADLINE, WIDE = 110, 790, 18, 45, 72, 1000
+#: Layout in widths of a page's own columns, whatever the resolution: the indents from which a line is a paragraph's first, an advert's or a
+#: headline's; a box of more than WIDE widths holds several columns; an edge NEXT widths beyond a column's left edge is the next column's.
+PARAGRAPH, ADVERT, HEADLINE, WIDE, NEXT = 0.025, 0.0625, 0.1, 1.4, 0.6
+# Kinds of lines: body, a paragraph's first, advert, headline.
+_B, _P, _A, _H = range(4)
 
-# Private-use characters: break of paragraph; masked dot; masked terminator; neutral mark; blank in a headline; opening mark of a name; cut; opening and closing quote.
-_PARA, _DOT, _END, _MARK, _GAP, _NAME, _CUT, _OPEN, _CLOSE = (chr(0xE000 + i) for i in (0, 1, 2, 3, 4, 5, 11, 16, 17))
+# Private-use characters: break of paragraph; masked dot; masked terminator; neutral mark; blank in a headline; opening mark of a name; end of a short form of street; cut; opening and closing quote.
+_PARA, _DOT, _END, _MARK, _GAP, _NAME, _STREET, _CUT, _OPEN, _CLOSE = (chr(0xE000 + i) for i in (0, 1, 2, 3, 4, 5, 6, 11, 16, 17))
 _BLANK = r"\s"
 _TERMS = ".!?…。！？।॥؟‼⁉｡"
 _CJK = r"\u3005\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
 _THAI = r"ก-๏๚๛"
-# Line ends and blanks other than the usual ones; the last are rare.
-_LINE_ENDS, _BLANKS = "\r\v\f\x85\u2028\u2029", "\u00a0\u2009\u200b\u202f\u3000\ufeff"
-_RARE_BLANKS = "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u200a\u205f"
+# Line ends and blanks other than the usual ones; what lies between columns in a line read across them.
+_LINE_ENDS, _BLANKS = r"[\r\x0b\f\x85\u2028\u2029]", r"(?=[\u00a0\u1680-\u3000\ufeff])[\u00a0\u1680\u2000-\u200b\u202f\u205f\u3000\ufeff]"
+_GAPS = r"(?<=\S)(?: *\t *| {2,}\| +| {3,})(?=\S)"
 _ORNAMENT = rf"^[{_BLANK}=~—–\-*·•_|#+]*$"
 
 # Abbreviations that a name, a number or more of the sentence follows.
@@ -38,8 +40,8 @@ _ORDINAL = "Januar|J(?:ä|a\u0308)nner|Februar|M(?:ä|a\u0308)rz|April|Mai|Juni|
 # Small words at the end of a line of a headline, which then goes on.
 _SMALL = "on|in|of|at|near|the|a|an|for|aus|bei|von|en|de|del|la|el|du|des|le|à|в|у|на|στην|στη|στο|στον"
 # Words that follow a quotation and belong to it, where letters have no case.
-_SAID_AFTER = r"[\s]*(?:صاح|سأل|هتف|أجاب|نادى)|[\s]*[^।॥|!?\ue000\ue002\ue010\ue011]{1,60}?ने\s(?:कहा|पूछा)"
-_SAID_CJK = r"\s*と|\s*[^。！？，\ue000\ue002\ue010\ue011]{0,24}(?:喊\n?道|说\n?道|问\n?道|答\n?道|叫\n?道)"
+_SAID_AFTER = r"[\s]*(?:صاح|سأل|هتف|أجاب|نادى)|[\s]*(?=[\u0900-\u0963])[^।॥|!?\ue000\ue002\ue010\ue011]+?ने\s(?:कहा|पूछा)"
+_SAID_CJK = r"\s*と|\s*(?=[\u3400-\u9fff])[^。！？，\ue000\ue002\ue010\ue011]*(?:喊\n?道|说\n?道|问\n?道|答\n?道|叫\n?道)"
 # How headings of adverts end or begin where letters have no case.
 _CASELESS_HEADING = r"(?:का मरहम|药膏|軟膏)\s*$|^\s*(?:ยาหม่อง|مرهم )"
 # Stock phrases that sentences of adverts begin with.
@@ -72,166 +74,220 @@ def _ended(c: Column) -> Column:
     return c.rlike(rf"[{_TERMS};|][\"'”“»«’)\]）」』]*[{_BLANK}]*$")
 
 
-def _half_lines(rows: DataFrame) -> DataFrame:
-    """Lines read across columns as two halves each, and what lines are where boxes don't tell.
+def _starts(items: Column, size, first: Column) -> Column:
+    """Where each of consecutive items starts, and where the last ends."""
+    return F.aggregate(items, F.array(first), lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + size(x)))
 
-    A right half has no box of its own: the first of a column is a headline, lines in capitals are headings, those inside a sentence
-    of adverts, and a line that had room for the next line's first word ends its paragraph.
+
+def _width(widths: Column, gapped: Column) -> Column:
+    """A page's column width by the widths of its boxes: the upper quartile of those of lines without a gap inside, as others may be read across.
+
+    On a page with such lines that quartile counts only widths up to WIDE times the lower one; where every line has a gap, it is half of the largest width.
+    """
+
+    def upper(s: Column) -> Column:
+        return F.get(s, F.floor(F.size(s) * 3 / 4).cast("int"))
+
+    def single(s: Column) -> Column:
+        least = F.get(s, F.floor(F.size(s) / 4).cast("int")) * WIDE
+        return F.when(F.size(s) == 0, F.array_max(widths) / 2).otherwise(upper(F.filter(s, lambda w: w <= least)))
+
+    return F.when(gapped.isNull(), upper(F.sort_array(widths))).otherwise(_let(F.sort_array(F.filter(widths, lambda w, i: ~F.get(gapped, i))), single)).cast("double")
+
+
+def _edges(x0s: Column, width: Column) -> Column:
+    """Left edges of a page's columns, from left to right."""
+
+    def more(acc: Column, x: Column) -> Column:
+        return F.when(x > F.element_at(acc, -1) + width * NEXT, F.array_append(acc, x)).otherwise(acc)
+
+    first = F.array(F.array_min(x0s))
+    return F.when(F.array_max(x0s) <= F.array_min(x0s) + width * NEXT, first).otherwise(F.aggregate(F.sort_array(x0s), first, more))
+
+
+def _place(x0: Column, lefts: Column, width: Column) -> Column:
+    """4 times the column in which a line begins, plus the kind that its indent tells."""
+    second, third = F.get(lefts, F.lit(1)), F.get(lefts, F.lit(2))
+    col = F.when(F.coalesce(x0 < second, F.lit(True)), 0).when(F.coalesce(x0 < third, F.lit(True)), 1).otherwise(F.size(F.filter(lefts, lambda e: e <= x0)) - 1)
+    indent = x0 - F.get(lefts, col)
+    return col * 4 + F.when(indent < width * PARAGRAPH, _B).when(indent < width * ADVERT, _P).when(indent < width * HEADLINE, _A).otherwise(_H)
+
+
+def _row(k: Column, at: Column, txt: Column, kind: Column, col: Column, caps: Column) -> Column:
+    return F.struct((col * 2 + (kind == _A).cast("int")).cast("int").alias("order"), k.cast("int").alias("k"), at.cast("int").alias("at"), txt.alias("txt"), kind.cast("int").alias("kind"), caps.alias("caps"))
+
+
+def _told(rows: Column) -> Column:
+    """Rows (_row) of the pieces of a page's lines, in reading order, with their kinds.
+
+    A right piece has no box of its own (``unsure``): the first of a column is a headline, lines in capitals are headings, those inside a
+    sentence of adverts, and a line that had room for the next line's first word ends its paragraph.
     """
-    split = r"^(.*?[^\s])([ \u00a0]*\t[ \u00a0]*|[ \u00a0]{2,}\|[ \u00a0]+|[ \u00a0]{3,})([^\s].*)$"
-    rows = rows.withColumn("gap", F.when(F.col("wide"), F.regexp_extract("txt", split, 2)))
-    rows = rows.withColumn("least", F.min(F.when(F.col("gap") != "", F.length("gap"))).over(Window.partitionBy("doc")))
-    left, gap = F.regexp_extract("txt", split, 1), F.length("gap")
-
-    def half(s: Column, txt: Column, right: int) -> Column:
-        return F.struct(s.alias("s"), txt.alias("txt"), F.lit(right).alias("right"))
-
-    halves = F.when(
-        gap > 0,
-        F.array(
-            half(F.lit(0), F.concat(left, F.substring(F.lit("          "), F.lit(1), gap - F.col("least"))), 0),
-            half(F.length(left) + gap, F.regexp_extract("txt", split, 3), 1),
-        ),
-    ).otherwise(F.array(half(F.lit(0), F.col("txt"), 0)))
-    rows = rows.withColumn("h", F.explode(halves)).select(
-        "doc", "k", (F.col("at") + F.col("h.s")).alias("at"), F.col("h.txt").alias("txt"), "x0", "after_blank",
-        (F.col("h.right") == 1).alias("unsure"), (F.col("col") + F.col("h.right")).alias("col"), "boxed",
-    )
-    rows = rows.where(~F.col("txt").rlike(_ORNAMENT))
-    by_col = Window.partitionBy("doc", "col").orderBy("k")
-    rows = rows.withColumn("caps", F.when(F.col("unsure") | F.col("x0").isNull() | F.col("boxed").isin("A", "H"), _capitals(F.col("txt"))).otherwise(F.lit(False)))
-    rows = rows.withColumn("prev", F.lag("txt").over(by_col)).withColumn("nth", F.row_number().over(by_col))
-    prev_more = F.col("prev").rlike(r"[-‐¬=\u00ad]\s*$") | F.col("prev").rlike(rf"(?i)(?:^|\s)(?:{_SMALL})\s*$")
-    titled = (F.col("nth") == 1) | ((F.col("nth") == 2) & (prev_more | (F.col("caps") & _capitals(F.col("prev"))) | F.col("txt").rlike(r"^\s*\p{Ll}")))
-    heading = F.col("unsure") & ~titled & (F.col("caps") | F.col("txt").rlike(_CASELESS_HEADING))
-    rows = rows.withColumn("heading", F.coalesce(heading, F.lit(False)))
-    rows = rows.withColumn("part", F.sum(F.col("heading").cast("int")).over(by_col))
-    left_advert = ~F.col("heading") & F.coalesce(_ended(F.col("prev")), F.lit(True)) & ~F.col("txt").rlike(_ADVERT_START)
-    back = F.sum((left_advert | ~F.col("unsure")).cast("int")).over(Window.partitionBy("doc", "col", "part").orderBy("k"))
-    advert = (F.col("part") > 0) & (back == 0)
-    room = F.max(F.length(F.rtrim("txt"))).over(Window.partitionBy("doc", "col", "unsure")) - F.length(F.rtrim("prev"))
-    word = F.when(F.col("txt").rlike(rf"^\s*[{_CJK}{_THAI}]"), F.lit(2)).otherwise(F.length(F.regexp_extract("txt", rf"^\s*[^{_BLANK}]*", 0)) + 1)
-    short = ~F.col("txt").rlike(r"^\s*\p{Ll}") & (room > word + 1)
-    unsure_kind = F.when(titled, "H").when(advert, "A").when(short, "P").otherwise("B")
-    plain = F.when(F.col("caps"), "H").when(F.col("after_blank"), "P").otherwise("B")
-    return rows.select("doc", "k", "at", "txt", F.when(F.col("unsure"), unsure_kind).when(F.col("x0").isNull(), plain).otherwise(F.col("boxed")).alias("kind"), "col", "caps")
-
-
-def _starts(sizes: Column, first: Column) -> Column:
-    """Where each of consecutive pieces starts, and where the last ends."""
-    return F.aggregate(sizes, F.array(first), lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n))
+    cols = F.sequence(F.lit(0), F.coalesce(F.array_max(F.transform(rows, lambda r: r["col"])), F.lit(0)))
+    most = F.transform(cols, lambda c: F.array_max(F.transform(F.filter(rows, lambda r: (r["col"] == c) & r["unsure"]), lambda r: r["size"])))
+
+    def step(most: Column):
+        def kind_of(acc: Column, r: Column, w: Column) -> Column:
+            prev = w["prev"]
+            more = prev.rlike(r"[-‐¬=\u00ad]\s*$") | prev.rlike(rf"(?i)(?:^|\s)(?:{_SMALL})\s*$")
+            titled = F.coalesce((w["nth"] == 1) | ((w["nth"] == 2) & (more | (r["caps"] & _capitals(prev)) | r["txt"].rlike(r"^\s*\p{Ll}"))), F.lit(False))
+            heading = r["unsure"] & ~titled & (r["caps"] | r["txt"].rlike(_CASELESS_HEADING))
+            left = F.coalesce(_ended(prev), F.lit(True)) & ~r["txt"].rlike(_ADVERT_START)
+            word = F.when(r["txt"].rlike(rf"^\s*[{_CJK}{_THAI}]"), F.lit(2)).otherwise(F.length(F.regexp_extract(r["txt"], rf"^\s*[^{_BLANK}]*", 0)) + 1)
+            short = ~r["txt"].rlike(r"^\s*\p{Ll}") & (F.get(most, r["col"]) - F.length(F.rtrim(prev)) > word + 1)
+
+            def kept(advert: Column) -> Column:
+                kind = F.when(~r["unsure"], r["kind"]).when(titled, _H).when(advert, _A).when(short, _P).otherwise(_B)
+                out = F.array_append(acc["out"], _row(r["k"], r["at"], r["txt"], kind, r["col"], r["caps"]))
+                return F.struct(out.alias("out"), r["col"].alias("col"), w["nth"].alias("nth"), r["txt"].alias("prev"), advert.alias("open"))
+
+            return _let(heading | (w["open"] & r["unsure"] & ~left), kept)
+
+        def one(acc: Column, r: Column) -> Column:
+            same = acc["col"] == r["col"]
+            w = F.struct(F.when(same, acc["prev"]).alias("prev"), F.when(same, acc["nth"] + 1).otherwise(1).alias("nth"), (same & acc["open"]).alias("open"))
+            return _let(w, lambda w: kind_of(acc, r, w))
+
+        return one
+
+    none = F.array().cast("array<struct<order:int,k:int,at:int,txt:string,kind:int,caps:boolean>>")
+    zero = F.struct(none.alias("out"), F.lit(-1).alias("col"), F.lit(0).alias("nth"), F.lit("").alias("prev"), F.lit(False).alias("open"))
+    return _let(most, lambda m: F.sort_array(F.aggregate(rows, zero, step(m), lambda acc: acc["out"])))
 
 
 def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> DataFrame:
-    """(doc, rows): for each page an array of its non-blank lines and half lines (col, advert, k, at, txt, kind, caps) in reading order.
+    """(doc, rows): for each page an array of its non-blank lines and pieces of lines (order, k, at, txt, kind, caps) in reading order.
 
-    ``at`` is a line's place in the page's text. ``kind`` is H(eadline), P(aragraph's first), B(ody) or A(dvert); ``caps`` marks
-    headlines and adverts in capitals; adverts come behind the body of their column. Pages are done within their row; only those with lines read across columns
-    go through _half_lines.
+    ``order`` is twice the column, plus 1 for adverts, which come behind the body of their column. ``at`` is a line's place in the page's text; ``caps`` marks
+    headlines and adverts in capitals. Lines read across columns are split at their gaps.
+    A page is done within its row: nothing is shuffled.
     """
-    box = F.col(boxes) if boxes else F.lit(None).cast("array<struct<x0:int,y0:int,x1:int,y1:int,conf:float>>")
-    docs = df.select(F.col(doc_id).alias("doc"), F.col(text).alias("t"), F.transform(box, lambda b: F.struct(b["x0"].alias("x0"), b["x1"].alias("x1"))).alias("boxes"))
+    x0s, x1s = (F.col(boxes).getField(c).cast("array<int>") if boxes else F.lit(None).cast("array<int>") for c in ("x0", "x1"))
+    docs = df.select(F.col(doc_id).alias("doc"), F.col(text).alias("t"), x0s.alias("x0s"), x1s.alias("x1s"))
     docs = docs.where(F.col("doc").isNotNull() & F.col("t").isNotNull() & F.col("t").rlike(r"\S"))
-    one = docs.withColumn("n", F.row_number().over(Window.partitionBy("doc").orderBy("t"))).where("n = 1").select("doc", "t", "boxes")
-    # one mark for all line ends and one for all blanks, a character for a character; rare ones only where there are any
-    plain = F.when(F.col("t").rlike(r"[\u1680\u2000-\u200a\u205f]"), F.translate("t", _RARE_BLANKS, " " * len(_RARE_BLANKS))).otherwise(F.col("t"))
-    for marks, to in ((_LINE_ENDS, "\n"), (_BLANKS, " ")):
-        for m in marks:
-            plain = F.replace(plain, F.lit(m), F.lit(to))
-
-    odd = (F.octet_length("t") > F.length("t")) | F.col("t").contains("\r") | F.col("t").contains("\f") | F.col("t").contains("\v")
-    plain = F.when(odd, plain).otherwise(F.col("t"))
-
-    def parted(pages: DataFrame) -> DataFrame:
-        """Lines with what blank lines follow them, where they start, and the boxes if there is one for each."""
-        p = pages.select("doc", "boxes", F.split(plain, r"(?<=\n)(?=[ \t]*\S)").alias("parts"))
-        blank_first = F.trim(F.get("parts", F.lit(0)), F.lit(" \t\n")) == ""
-        p = p.select(
-            "doc", "boxes",
-            F.when(blank_first, F.length(F.get("parts", F.lit(0)))).otherwise(0).alias("from"),
-            F.when(blank_first, F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))).otherwise(F.col("parts")).alias("parts"),
-        )
-        fits = F.size("parts") == F.coalesce(F.size("boxes"), F.lit(-1))
-        return p.select("doc", F.when(fits, F.col("boxes")).alias("boxes"), "parts", _starts(F.transform("parts", F.length), F.col("from")).alias("starts"))
-
-    across = F.coalesce(F.exists("boxes", lambda b: b["x1"] - b["x0"] > WIDE), F.lit(False))
-
-    def column_of(x0: Column) -> Column:
-        return F.coalesce(F.floor((x0 - COLUMN_LEFT + 50) / COLUMN_PITCH), F.lit(0)).cast("int")
-
-    def kind_of(x0: Column) -> Column:
-        indent = F.pmod(x0 - COLUMN_LEFT + 50, F.lit(COLUMN_PITCH)) - 50
-        return F.when(indent < PARAGRAPH, "B").when(indent < ADVERT, "P").when(indent < HEADLINE, "A").otherwise("H")
+    # one mark for all line ends and one for all blanks, a character for a character
+    plain = F.when(F.col("t").rlike(_LINE_ENDS), _sub(F.col("t"), _LINE_ENDS, "\n")).otherwise(F.col("t"))
+    docs = docs.select("doc", "x0s", "x1s", plain.alias("t"), (F.octet_length("t") > F.length("t")).alias("wide"))
+    docs = docs.select("doc", "x0s", "x1s", F.when(F.col("wide") & F.col("t").rlike(_BLANKS), _sub(F.col("t"), _BLANKS, " ")).otherwise(F.col("t")).alias("t"))
+    # lines with the blank ones that follow them; blank ones before the first are a part of their own
+    may_gap = F.col("t").contains("   ") | F.col("t").contains("\t") | F.col("t").contains("  |")
+    p = docs.select("doc", "x0s", "x1s", F.split("t", r"\n(?=[ \t]*\S)").alias("parts"), may_gap.alias("may_gap"))
+    head = F.get("parts", F.lit(0))
+    blank_first = F.trim(head, F.lit(" \t\n")) == ""
+    p = p.select("doc", "x0s", "x1s", "may_gap", F.when(blank_first, F.length(head) + 1).otherwise(0).alias("from"), F.when(blank_first, F.slice("parts", 2, F.greatest(F.size("parts"), F.lit(1)))).otherwise(F.col("parts")).alias("parts"))
+    fits = F.coalesce((F.size("parts") == F.size("x0s")) & ~F.array_contains(F.transform(F.array("x0s", "x1s"), lambda a: F.size(F.array_compact(a)) < F.size(a)), True), F.lit(False))
+    p = p.select("doc", "x0s", "x1s", "may_gap", "parts", _starts(F.col("parts"), lambda s: F.length(s) + 1, F.col("from")).alias("starts"), fits.alias("fits"))
+    gapped = F.when(F.col("may_gap") & F.col("fits"), F.transform("parts", lambda s: s.rlike(_GAPS)))
+    p = p.select("doc", "parts", "starts", "x0s", F.when(F.col("fits"), F.zip_with("x1s", "x0s", lambda a, b: a - b)).alias("widths"), gapped.alias("gapped"))
+    p = p.select("doc", "parts", "starts", "x0s", "widths", "gapped", F.when(F.col("widths").isNotNull(), _width(F.col("widths"), F.col("gapped"))).alias("width"))
+    p = p.select("doc", "parts", "starts", "x0s", "widths", "gapped", "width", F.when(F.col("width").isNotNull(), _edges(F.col("x0s"), F.col("width"))).alias("lefts"))
+    across = F.col("gapped").isNotNull() & (F.array_max("widths") > F.col("width") * WIDE)
+    places = F.when(F.col("lefts").isNotNull(), F.transform("x0s", lambda x: _place(x, F.col("lefts"), F.col("width"))))
+    p = p.select("doc", "parts", "starts", "widths", "width", places.alias("places"), across.alias("across"))
 
     def line_of(part: Column) -> Column:
         return F.substring_index(part, "\n", 1)
 
-    def row(k: Column, at: Column, txt: Column, kind: Column, col: Column, caps: Column) -> Column:
-        return F.struct(col.alias("col"), (kind == "A").cast("int").alias("advert"), k.cast("int").alias("k"), at.cast("int").alias("at"), txt.alias("txt"), kind.alias("kind"), caps.alias("caps"))
-
-    def told_rows(v: Column) -> Column:
-        def told_row(part: Column, i: Column) -> Column:
-            x0 = F.get(v["boxes"], i)["x0"]
-            after_blank = (i == 0) | F.get(v["parts"], i - 1).rlike(r"\n[ \t]*\n")
-            bare = F.when(_capitals(line_of(part)), "H").when(after_blank, "P").otherwise("B")
-            kind = F.when(v["boxes"].isNull(), bare).otherwise(kind_of(x0))
-            return _let(F.struct(line_of(part).alias("txt"), kind.alias("kind")), lambda w: row(i, F.get(v["starts"], i), w["txt"], w["kind"], column_of(x0), F.when(w["kind"].isin("A", "H"), _capitals(w["txt"])).otherwise(F.lit(False))))
-
-        return F.sort_array(F.filter(F.transform(v["parts"], told_row), lambda r: ~r["txt"].rlike(_ORNAMENT)))
-
-    # bound to a variable, or the optimizer would put what makes the arrays into the lambda, for every line
-    told = parted(one.where(~across)).select("doc", _let(F.struct("parts", "starts", "boxes"), told_rows).alias("rows"))
-    other = parted(one.where(across)).select("doc", F.posexplode(F.arrays_zip("parts", F.coalesce("boxes", F.array().cast("array<struct<x0:int,x1:int>>")).alias("boxes"), F.slice("starts", F.lit(1), F.size("parts")).alias("starts"))).alias("k", "z"))
-    x0 = F.col("z.boxes.x0")
-    by_k = Window.partitionBy("doc").orderBy("k")
-    other = other.select(
-        "doc", "k", x0.alias("x0"), F.col("z.starts").alias("at"), line_of(F.col("z.parts")).alias("txt"), column_of(x0).alias("col"), kind_of(x0).alias("boxed"),
-        (F.col("z.boxes.x1") - x0 > WIDE).alias("wide"),
-        F.coalesce(F.lag(F.col("z.parts").rlike(r"\n[ \t]*\n")).over(by_k), F.lit(True)).alias("after_blank"),
-    )
-    halves = _half_lines(other)
-    halves = halves.groupBy("doc").agg(F.sort_array(F.collect_list(row(F.col("k"), F.col("at"), F.col("txt"), F.col("kind"), F.col("col"), F.coalesce("caps", F.lit(False))))).alias("rows"))
-    return told.unionByName(halves)
+    def boxed_row(part: Column, i: Column) -> Column:
+        place, txt = F.get("places", i), line_of(part)
+        kind = place.bitwiseAND(3)
+        return _row(i, F.get("starts", i), txt, kind, F.shiftright(place, 2), F.when(kind >= _A, _capitals(txt)).otherwise(F.lit(False)))
+
+    def bare_row(part: Column, i: Column) -> Column:
+        caps = _capitals(line_of(part))
+        kind = F.when(caps, _H).when((i == 0) | F.get("parts", i - 1).contains("\n"), _P).otherwise(_B)
+        return _row(i, F.get("starts", i), line_of(part), kind, F.lit(0), caps)
+
+    def cut_up(part: Column, i: Column) -> Column:
+        across = F.get("widths", i)
+        spanned = F.when(across > F.col("width") * WIDE, F.greatest(F.lit(2), F.round(across / F.col("width")).cast("int"))).otherwise(1)
+
+        def texts(w: Column) -> Column:
+            gaps = F.transform(F.regexp_extract_all(w["txt"], F.lit(_GAPS), F.lit(0)), lambda g: F.length(g))
+            return F.struct(
+                i.alias("k"), F.get("starts", i).alias("start"), F.shiftright(F.get("places", i), 2).alias("col"), F.get("places", i).bitwiseAND(3).alias("kind"),
+                F.split(w["txt"], _GAPS, w["n"]).alias("texts"), F.slice(gaps, F.lit(1), w["n"] - 1).alias("gaps"),
+            )
+
+        return _let(F.struct(line_of(part).alias("txt"), spanned.alias("n")), texts)
+
+    def spread(lines: Column) -> Column:
+        def of_line(s: Column, least: Column) -> Column:
+            def piece(txt: Column, j: Column, offs: Column) -> Column:
+                # a gap wider than usual holds a blank at the end of the left line
+                padded = F.concat(txt, F.repeat(F.lit(" "), F.coalesce(F.get(s["gaps"], j) - least, F.lit(0))))
+                caps = F.when((j > 0) | (s["kind"] >= _A), _capitals(txt)).otherwise(F.lit(False))
+                return F.struct(
+                    (s["col"] + j).alias("col"), s["k"].alias("k"), F.get(offs, j).alias("at"), padded.alias("txt"), (j > 0).alias("unsure"),
+                    s["kind"].alias("kind"), caps.alias("caps"), F.length(F.rtrim(txt)).alias("size"),
+                )
+
+            sizes = F.transform(s["texts"], lambda x, j: F.length(x) + F.coalesce(F.get(s["gaps"], j), F.lit(0)))
+            return _let(_starts(sizes, lambda n: n, s["start"]), lambda offs: F.transform(s["texts"], lambda x, j: piece(x, j, offs)))
+
+        least = F.array_min(F.flatten(F.transform(lines, lambda s: s["gaps"])))
+        pieces = _let(least, lambda m: F.flatten(F.transform(lines, lambda s: of_line(s, m))))
+        return _let(F.sort_array(F.filter(pieces, lambda r: ~r["txt"].rlike(_ORNAMENT))), _told)
+
+    def lines(row) -> Column:
+        return F.sort_array(F.filter(F.transform("parts", row), lambda r: ~r["txt"].rlike(_ORNAMENT)))
+
+    rows = F.when(F.col("places").isNull(), lines(bare_row)).when(F.col("across"), _let(F.transform("parts", cut_up), spread)).otherwise(lines(boxed_row))
+    return p.select("doc", rows.alias("rows"))
 
 
 def _running(rows: Column) -> Column:
     """The rows with ``lead``, a mark in front of those that begin a paragraph, and ``piece``, their text; headlines and advert headings masked."""
 
+    def neutral(r: Column) -> Column:
+        return F.translate(r["txt"], _TERMS + " ;|\"“”„«»'‘’「」『』()（）", _END * len(_TERMS) + _GAP + _MARK * 20)
+
+    def piece(r: Column, fresh: Column, head: Column) -> Column:
+        return F.struct(r["at"].alias("at"), F.when(fresh, _PARA).otherwise("").alias("lead"), F.when(head, neutral(r)).otherwise(r["txt"]).alias("piece"))
+
+    def without_adverts(r: Column, i: Column) -> Column:
+        p = F.get(rows, i - 1)
+        fresh = (i == 0) | (p["order"] != r["order"]) | (r["kind"] == _P) | ((r["kind"] == _H) != (p["kind"] == _H))
+        return piece(r, fresh, r["kind"] == _H)
+
     def begins(r: Column, i: Column) -> Column:
         p = F.get(rows, i - 1)
-        first = (i == 0) | (p["kind"] != "A") | (p["col"] != r["col"])
-        return (r["kind"] == "A") & (first | r["txt"].rlike(_CASELESS_HEADING) | (r["caps"] & ~p["caps"] & _ended(p["txt"])))
+        first = (i == 0) | (p["order"] != r["order"])
+        return (r["kind"] == _A) & (first | r["txt"].rlike(_CASELESS_HEADING) | (r["caps"] & ~p["caps"] & _ended(p["txt"])))
 
     def heads(starts: Column) -> Column:
         def head(r: Column, i: Column) -> Column:
-            goes_on = (r["kind"] == "A") & (i > 0) & F.coalesce(F.get(starts, i - 1), F.lit(False)) & r["caps"] & F.coalesce(F.get(rows, i - 1)["caps"], F.lit(False))
-            return (r["kind"] == "H") | F.get(starts, i) | goes_on
+            goes_on = (r["kind"] == _A) & (i > 0) & F.coalesce(F.get(starts, i - 1), F.lit(False)) & r["caps"] & F.coalesce(F.get(rows, i - 1)["caps"], F.lit(False))
+            return (r["kind"] == _H) | F.get(starts, i) | goes_on
 
         return F.transform(rows, head)
 
     def finished(starts: Column, head: Column) -> Column:
         def one(r: Column, i: Column) -> Column:
             p = F.get(rows, i - 1)
-            fresh = (i == 0) | (p["col"] != r["col"]) | (r["kind"] == "P") | F.get(starts, i) | (F.get(head, i) != F.get(head, i - 1)) | ((p["kind"] == "A") != (r["kind"] == "A"))
-            neutral = F.translate(r["txt"], _TERMS + " ;|\"“”„«»'‘’「」『』()（）", _END * len(_TERMS) + _GAP + _MARK * 20)
-            return F.struct(r["at"].alias("at"), F.when(fresh, _PARA).otherwise("").alias("lead"), F.when(F.get(head, i), neutral).otherwise(r["txt"]).alias("piece"))
+            fresh = (i == 0) | (p["order"] != r["order"]) | (r["kind"] == _P) | F.get(starts, i) | (F.get(head, i) != F.get(head, i - 1))
+            return piece(r, fresh, F.get(head, i))
 
         return F.transform(rows, one)
 
-    return _let(F.transform(rows, begins), lambda starts: _let(heads(starts), lambda head: finished(starts, head)))
+    with_adverts = _let(F.transform(rows, begins), lambda starts: _let(heads(starts), lambda head: finished(starts, head)))
+    return F.when(F.exists(rows, lambda r: r["kind"] == _A), with_adverts).otherwise(F.transform(rows, without_adverts))
 
 
 def mask(c: Column) -> Column:
     """Dots that end nothing, quotations and brackets, character by character."""
-    titles = "|".join(dict.fromkeys(unicodedata.normalize(form, a.replace(".", r"\.")) for a in _TITLES for form in ("NFC", "NFD")))
+    titles: dict[int, list[str]] = {}
+    for a in dict.fromkeys(unicodedata.normalize(form, a) for a in _TITLES for form in ("NFC", "NFD")):
+        titles.setdefault(len(a), []).append(a)
     word, upper = r"(?<![\p{L}\p{M}\p{N}½¼¾])", r"(?=\s+\p{Lu})"
     dots = [
         r"(?<=\p{N}\.)(?=\n?\p{N})",  # decimals
         rf"(?=[\p{{L}}\p{{N}}&&[^{_CJK}]])(?!(?<=(?:\p{{Ll}}{{2}}|[ap].m|½d)\.)\p{{Lu}}[\p{{Ll}}\s])",  # inside words and addresses
         r"(?=[-/@,;:])",
         rf"(?<={word}\p{{Lu}}\.){upper}",  # initials
-        rf"(?<={word}(?:{titles})\.)(?=[\s\p{{L}}])",
-        rf"(?<={word}St\.)(?=\s)(?<!\p{{N}}\s\p{{L}}{{1,24}}\sSt\.)",  # a saint, not a street with a number
+        # one look back for each length
+        rf"(?=[\s\p{{L}}])(?:{'|'.join(f'(?<={word}(?:{chr(124).join(x.replace(chr(46), chr(92) + chr(46)) for x in same)})' + chr(92) + '.)' for same in titles.values())})",
+        rf"(?<={word}St\.)(?=\s)",  # a saint; a street with a number has another mark by now
         rf"(?<=\p{{N}}\.)(?=\s+(?:{_ORDINAL}))",
         rf"(?<={word}[AaIi]m\s\p{{N}}{{1,2}}\.)(?=\s)",
         r"(?=\s+[½¼¾⅓⅔⅛])",
@@ -241,6 +297,7 @@ def mask(c: Column) -> Column:
         r"(?<=\s[вВ]\sг\.)",
         rf"(?<={word}д\.)(?=\s+\p{{N}})",
     ]
+    c = _let(c, lambda x: F.when(x.contains(" St.") | x.contains("\nSt."), _sub(x, r"(\p{N}\s\p{L}++\sS)t(?=\.)", f"$1{_STREET}")).otherwise(x))
     c = _sub(c, rf"\.(?:{'|'.join(dots)})", _DOT)
     # a raised dot read for a dot, where a sentence begins behind it
     c = _if_has(c, "·", lambda x: _sub(x, r"·(?<=[\p{L}\p{N})”»]·)(?<![\u0370-\u03ff\u1f00-\u1fff]·)(?=\s+\p{Lu})", "."))
@@ -283,26 +340,27 @@ def cut(c: Column) -> Column:
     close = rf"[{_CLOSE}{_MARK})\]）」』\"'”’»“«]*"
     start = rf"(?:[\p{{Lu}}\p{{Lt}}\p{{Lo}}\p{{N}}{_OPEN}{_NAME}(\[（¿¡☞£$€§«»„“”\"'‘]|[—–-]\s?[\p{{Lu}}¿¡])"
     ahead = rf"(?=\s+(?:[|~·'*,•]\s+)?{start})"
-    lost_blank = r"[.!?](?<=(?:\p{Ll}{2}|[ap].m|½d)[.!?])(?=\p{Lu}[\p{Ll}\s]|☞)"
+    lost_blank = r"(?<=(?:\p{Ll}{2}|[ap].m|½d)[.!?])(?=\p{Lu}[\p{Ll}\s]|☞)"
     others = "…।॥؟‼⁉"
-    c = _if_has(c, r"\u0600-\u2050", lambda x: F.when(x.rlike(f"[{others}]"), F.translate(x, others, "!" * len(others))).otherwise(x))
-    c = _sub(c, rf"([.!?]+{close}{ahead}|{lost_blank})", f"$1{_CUT}")
-    quoted = rf"({_END}\s?{_MARK}?{_CLOSE}[)\]]?{ahead}(?!{_SAID_AFTER}|{_SAID_CJK}|\s+[{_THAI}])|{_END}[)）\]]{ahead})"
-    c = _if_has(c, _END, lambda x: _sub(x, quoted, f"$1{_CUT}"))
+    c = _if_has(c, r"\u0600-\u2050", lambda x: _sub(x, rf"(?=[\u061f-\u2049])[{others}]", "!"))
+    # patterns begin with the character they look for: a group in front would be tried at every place
+    c = _sub(c, rf"[.!?](?:[.!?]*{close}{ahead}|{lost_blank})", f"$0{_CUT}")
+    quoted = rf"{_END}(?:\s?{_MARK}?{_CLOSE}[)\]]?{ahead}(?!{_SAID_AFTER}|{_SAID_CJK}|\s+[{_THAI}])|[)）\]]{ahead})"
+    c = _if_has(c, _END, lambda x: _sub(x, quoted, f"$0{_CUT}"))
     han = rf"[{_CJK}]"
-    full = rf"([。！？｡]+{close})(?!{_CUT})"
-    half = rf"([.!?](?<={han}[^{_PARA}]{{0,2}}[.!?])(?![.!?]){close})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（]))"
-    said = rf"({_END}{_MARK}?{_CLOSE})(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（{_MARK}\p{{N}}]))(?!{_SAID_CJK})"
-    c = _if_has(c, r"\u3041-\u9fff", lambda x: _sub(_sub(_sub(x, full, f"$1{_CUT}"), half, f"$1{_CUT}"), said, f"$1{_CUT}"))
-    c = _if_has(c, r"\u0e01-\u0e5b", lambda x: _sub(x, rf"([{_THAI}!?][ \t]+)(?=\n?[{_THAI}])", f"$1{_CUT}"))
-    return F.replace(c, F.lit(_PARA), F.lit(_CUT + _PARA))
+    full = rf"[。！？｡]+{close}(?!{_CUT})"
+    half = rf"[.!?](?<={han}[^{_PARA}]{{0,2}}[.!?])(?![.!?]){close}(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（]))"
+    said = rf"{_END}{_MARK}?{_CLOSE}(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（{_MARK}\p{{N}}]))(?!{_SAID_CJK})"
+    c = _if_has(c, r"\u3041-\u9fff", lambda x: _sub(_sub(_sub(x, full, f"$0{_CUT}"), half, f"$0{_CUT}"), said, f"$0{_CUT}"))
+    c = _if_has(c, r"\u0e01-\u0e5b", lambda x: _sub(x, rf"[{_THAI}!?][ \t]+(?=\n?[{_THAI}])", f"$0{_CUT}"))
+    return _sub(c, _PARA, _CUT + _PARA)
 
 
 def _spans(run: Column, shifts: Column) -> Column:
-    """(s, e) of each sentence of the running text, in places of the page's text; ``shifts`` has the way there for each line."""
+    """Start times 2**32 plus end of each sentence of the running text, in places of the page's text; ``shifts`` has the way there for each line."""
 
     def lines(c: Column) -> Column:
-        return F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))
+        return F.size(F.split(c, "\n")) - 1
 
     blank = F.lit(f" \t\n{_PARA}{_GAP}")
 
@@ -311,20 +369,29 @@ def _spans(run: Column, shifts: Column) -> Column:
             speck = F.substring(b, 1, 2).rlike(r"^[|~·*•,'](?:\s|$)")
             return F.when(speck, F.ltrim(F.substr(b, F.lit(2)), blank)).otherwise(b)
 
-        def measured(b: Column, t: Column) -> Column:
-            return F.struct(
-                F.length(u).alias("size"), (F.length(u) - F.length(b)).alias("lead"), F.length(t).alias("n"),
-                lines(u).alias("l"), (lines(u) - lines(b)).alias("l0"), lines(t).alias("l1"), t.rlike(r"[\p{L}\p{N}]").alias("ok"),
+        def measured(x: Column) -> Column:
+            """Lines are counted in what is trimmed, mostly nothing, and in the rest once."""
+            lead, n = x["size"] - x["rest"], F.length(x["t"])
+            return _let(
+                F.struct(lead.alias("lead"), n.alias("n"), lines(F.substr(u, F.lit(1), lead)).alias("l0"), lines(x["t"]).alias("l1")),
+                lambda y: F.struct(
+                    x["size"].alias("size"), y["lead"].alias("lead"), y["n"].alias("n"), (y["l0"] + y["l1"] + lines(F.substr(u, y["lead"] + y["n"] + 1))).alias("l"),
+                    y["l0"].alias("l0"), y["l1"].alias("l1"), x["t"].rlike(r"[\p{L}\p{N}]").alias("ok"),
+                ),
             )
 
-        return _let(speckless(F.ltrim(u, blank)), lambda b: _let(F.rtrim(b, blank), lambda t: measured(b, t)))
+        def trimmed(b: Column) -> Column:
+            return F.struct(F.length(u).alias("size"), F.length(b).alias("rest"), F.rtrim(b, blank).alias("t"))
+
+        return _let(_let(speckless(F.ltrim(u, blank)), trimmed), measured)
 
     def step(acc: Column, x: Column) -> Column:
         at = acc["at"] + x["lead"]
-        span = F.struct((at + F.get(shifts, acc["line"] + x["l0"])).alias("s"), (at + x["n"] + F.get(shifts, acc["line"] + x["l0"] + x["l1"])).alias("e"))
+        start, end = at + F.get(shifts, acc["line"] + x["l0"]), at + x["n"] + F.get(shifts, acc["line"] + x["l0"] + x["l1"])
+        span = F.shiftleft(start.cast("bigint"), 32) + end
         return F.struct((acc["at"] + x["size"]).alias("at"), (acc["line"] + x["l"]).alias("line"), F.when(x["ok"], F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    none = F.array().cast("array<struct<s:int,e:int>>")
+    none = F.array().cast("array<bigint>")
     zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("line"), none.alias("out"))
     return F.aggregate(F.transform(F.split(cut(mask(run)), _CUT), sizes), zero, step, lambda acc: acc["out"])
 
@@ -337,16 +404,18 @@ def sentences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", boxes:
     lines in capitals are headlines. A headline, an advert's heading, and each sentence of an advert are units; what an advert, an
     ornament or the neighbouring column interrupts is one unit from its first to its last character.
 
-    Null, empty and blank texts, and rows with a null ``doc_id``, have no sentences. Of repeated rows of a doc_id, one counts.
-    Texts and quotations are cut whole, however long; a quotation ends with its paragraph at the latest. Rows are shuffled once, by doc_id; all windows and groups are within a page.
+    Null, empty and blank texts, and rows with a null ``doc_id``, have no sentences. Repeated rows count once; different texts under one doc_id all count.
+    Texts and quotations are cut whole, however long; a quotation ends with its paragraph at the latest. A page is done within its row; only
+    doc_ids and places are shuffled, to find repeated rows.
     """
     pages = page_lines(df, doc_id, text, boxes).select("doc", _let(F.col("rows"), _running).alias("rows"))
 
     def flowing(rows: Column) -> Column:
-        flow = _starts(F.transform(rows, lambda r: F.length(r["lead"]) + F.length(r["piece"]) + 1), F.lit(0))
+        flow = _starts(rows, lambda r: F.length(r["lead"]) + F.length(r["piece"]) + 1, F.lit(0))
         shifts = _let(flow, lambda f: F.transform(rows, lambda r, i: r["at"] - F.get(f, i) - F.length(r["lead"])))
         run = F.array_join(F.transform(rows, lambda r: F.concat(r["lead"], r["piece"])), "\n")
         return _let(shifts, lambda s: _spans(run, s))
 
-    spans = pages.select("doc", F.explode(_let(F.col("rows"), flowing)).alias("x"))
-    return spans.select(F.col("doc").alias(doc_id), F.col("x.s").alias("start_char"), F.col("x.e").alias("end_char"))
+    spans = pages.select("doc", _let(F.col("rows"), flowing).alias("x")).groupBy("doc").agg(F.collect_set("x").alias("x"))
+    spans = spans.select("doc", F.explode(F.when(F.size("x") == 1, F.get("x", F.lit(0))).otherwise(F.array_distinct(F.flatten("x")))).alias("x"))
+    return spans.select(F.col("doc").alias(doc_id), F.shiftright("x", 32).cast("int").alias("start_char"), F.col("x").bitwiseAND(0xFFFFFFFF).cast("int").alias("end_char"))
