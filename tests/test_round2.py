@@ -134,3 +134,60 @@ def test_coerced_equality(spark, value):
     got = {r.c for r in df.collect() if r.same}
     assert got == {c for c in CELLS if c is not None and read(c) == read(value)}
     assert np.isnan(float("nan"))
+
+
+def test_virus_taxonomy_and_genomes(spark, rows):
+    from virelay.plans import databases
+
+    nodes = spark.createDataFrame([(1, 1, "no rank"), (10, 1, "superkingdom"), (20, 10, "family"), (21, 20, "genus"), (22, 21, "species"), (23, 22, "no rank"), (24, 20, "species"), (90, 1, "species")], "node long, parent long, rank string")
+    names = spark.createDataFrame([(22, "good virus", "scientific name"), (22, "a synonym", "synonym"), (24, "other", "synonym")], "node long, name string, name_class string")
+    hosts = spark.createDataFrame([(23, 9606), (24, 7)], "node long, host long")
+    groups = {"human": spark.createDataFrame([(9606,)], "host long"), "fly": spark.createDataFrame([(7,), (8,)], "host long")}
+    db = databases.virus_taxonomy(nodes, names, 10, hosts, groups)
+    got = {r.taxid: r for r in db.collect()}
+    assert set(got) == {10, 20, 21, 22, 23, 24} and got[10].parent_taxid == 10
+    assert (got[22].name, got[24].name, got[20].name) == ("good virus", "other", "unknown virus")
+    assert (got[23].taxid_species, got[23].taxid_genus, got[23].taxid_family, got[24].taxid_genus) == (22, 21, 20, None)
+    assert got[23].infection_status_human == 1 and got[24].infection_status_fly == 1 and got[24].infection_status_human != 1
+    assemblies = spark.createDataFrame([("GCA_1.1", 23, "current"), ("GCA_2.1", 24, "current"), ("GCA_3.1", 23, "replaced")], "accession string, taxid long, assembly_status string")
+    fasta = spark.createDataFrame([("/x/GCA_1.1_b.fna", "s1", "fine", "AC"), ("/x/GCA_1.1_b.fna", "s2", "a Vector", "GG"), ("/x/GCA_2.1_a.fna", "s3", None, "TT")], "file string, seq_id string, description string, seq string")
+    table, seqs = databases.virus_genomes(assemblies, db, fasta, ["human"], ["vector"])
+    assert {(r.accession, r.genome_id, r.species_taxid) for r in table.collect()} == {("GCA_1.1", "s1", 22), ("GCA_1.1", "s2", 22)}
+    assert [r.seq_id for r in seqs.collect()] == ["s1"]
+    with pytest.raises(relops.TableError):
+        databases.virus_genomes(assemblies, db, fasta, ["human"], [], "suppressed")
+
+
+def test_sample_sheets_suffixes_and_groups(spark, tmp_path, rows):
+    for i, (text, platform) in enumerate((("sample,fastq\na,x\na,y\n", "ont"), ("sample,fastq\na,\n", "ont"), ("sample,fastq\na,x\n", "pacbio"), ("sample,fastq\na,x\n", "abacus"), ("sample,file\na,x\n", "ont"))):
+        (tmp_path / f"s{i}.csv").write_text(text)
+        with pytest.raises(relops.TableError):
+            readers.read_sample_sheet(spark, str(tmp_path / f"s{i}.csv"), platform)
+    (tmp_path / "p.csv").write_text("sample,fastq_1,fastq_2\na,x,y\n")
+    assert readers.read_sample_sheet(spark, str(tmp_path / "p.csv"), "aviti").count() == 1
+    (tmp_path / "o.toml").write_text('[tool.x]\nexpected-outputs-run = ["in/sheet.csv", "r/{SAMPLE}_b.tsv.gz", "r/{SAMPLE}_a.json"]\nexpected-outputs-run-shortread-extra = ["r/{SAMPLE}_b.tsv", "r/{SAMPLE}_c.tsv.gz"]\n')
+    assert readers.expected_suffixes(str(tmp_path / "o.toml"), "ont", ("tool", "x")) == ["a.json", "b.tsv"]
+    assert readers.expected_suffixes(str(tmp_path / "o.toml"), "illumina", ("tool", "x")) == ["a.json", "b.tsv", "c.tsv"]
+    (tmp_path / "g.tsv").write_text("sample\tgroup\ns1\tg1\ns2\tg1\n")
+    (tmp_path / "runs.csv").write_text("label,run_results_dir,groups_tsv\nr1,out,g.tsv\nr2,/abs,g.tsv\n")
+    runs = readers.read_run_inputs(spark, str(tmp_path / "runs.csv"), str(tmp_path))
+    got = readers.run_groups(spark, runs)
+    assert rows(got.select("label", "sample", "group")) == [("r1", "s1", "g1"), ("r1", "s2", "g1"), ("r2", "s1", "g1"), ("r2", "s2", "g1")]
+
+
+def test_paired_table_of_mates_that_disagree(spark):
+    from virelay.plans import workflows
+
+    cols = "seq_id string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual string, as_score int, xs_score int, ys_score int, nm int, pair_status string, ordinal long"
+    rows = [("r", 65, "g1", 11, 40, "4M", "g2", 31, 0, "ACGT", "IIII", 30, 5, 40, 0, "DP", 1), ("r", 145, "g2", 31, 41, "4M", "g1", 11, 0, "GGCC", "5556", 40, None, 30, 1, "DP", 2)]
+    genomes = spark.createDataFrame([("g1", 7, 70), ("g2", 8, 80)], "genome_id string, taxid long, species_taxid long")
+    viral = spark.createDataFrame([(7,), (80,)], "taxid long")
+    one = workflows.hits_from_sam(spark.createDataFrame(rows, cols), genomes, 10.0, viral).first()
+    assert (one.genome_id, one.genome_id_all, one.taxid, one.taxid_all, one.fragment_length) == ("g2", "g1/g2", 80, "7/80", None)
+    assert (one.genome_id_fwd, one.genome_id_rev, one.next_alignment_score, one.map_qual_rev, one.cigar_rev, one.query_len, one.classification) == ("g1", "g2", 5, 41, "4M", 4, "primary")
+    assert len(one) == 37 and one.query_seq_rev == "GGCC" and one.query_qual_rev == "6555" and one.query_rc_rev and one.length_normalized_score == one.length_normalized_score_rev
+    for bad in ([rows[0], rows[0], rows[1]], [("r", 321, *rows[0][2:-2], "CP", 3), *rows]):
+        with pytest.raises(Exception, match="primary rows|numbers of mates"):
+            workflows.hits_from_sam(spark.createDataFrame(bad, cols), genomes, 1.0, viral).collect()
+    with pytest.raises(Exception, match="unknown genome"):
+        workflows.hits_from_sam(spark.createDataFrame(rows, cols), genomes.where("taxid = 7"), 1.0, viral).collect()

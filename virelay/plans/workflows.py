@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from virelay.operators import align, duplicates, hierarchy, joins, relops, tree
+from virelay.sources import writers
 
 
 def hits_from_sam(sam: DataFrame, genomes: DataFrame, threshold: float, viral: DataFrame | None = None) -> DataFrame:
@@ -61,3 +62,19 @@ def validate_hits(hits: DataFrame, members: DataFrame, rep_lca: DataFrame, paths
 def by_group(tables: list[DataFrame], groups: DataFrame) -> DataFrame:
     """Tables of samples as one table with a column ``group``; samples without a group are left out."""
     return relops.union_by_header(tables).join(groups.select("sample", "group"), "sample")
+
+
+def profile_tables(reports: dict[str, DataFrame]) -> DataFrame:
+    """Reports of ribosomal (``TRUE``) and other (``FALSE``) reads as one table with the column ``ribosomal``."""
+    return relops.union_by_header([df.withColumn("ribosomal", F.lit(flag)) for flag, df in reports.items()])
+
+
+def validated_groups(hits: DataFrame, virus_db: DataFrame, members: DataFrame, search: DataFrame, paths: DataFrame, groups: DataFrame, taxid: str = "aligner_taxid_lca") -> tuple[DataFrame, DataFrame]:
+    """(validated hits, groups without any): clusters of each species, their representatives' search results, distances, and the hits they stand for.
+
+    ``hits`` has seq_id, ``taxid`` and group; ``members`` is a cluster_summary of them, ``search`` a report of representatives with an ordinal, ``groups`` has (group).
+    """
+    found = search_lca(search, paths).select(F.col("qseqid").alias("seq_id"), F.col("taxid_lca_combined").alias("validation_lca"))
+    split = by_species(hits, virus_db, taxid)
+    out = validate_hits(split, members, found, paths, taxid).drop("taxid_species", "selected_taxid")
+    return out, writers.empty_outputs(groups, out)

@@ -5,11 +5,13 @@ Text files compressed by gzip can't be split, so a file is one task; rows are sp
 
 from __future__ import annotations
 
+import tomllib
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from virelay.operators.relops import TableError
+from virelay.operators.relops import TableError, assert_unique
 
 #: Columns of tabular search reports and cluster records (fixed values).
 BLAST_COLUMNS = "qseqid string, sseqid string, sgi string, staxid bigint, qlen int, evalue double, bitscore double, qcovs double, length int, pident double, mismatch int, gapopen int, sstrand string, qstart int, qend int, sstart int, send int"
@@ -146,8 +148,18 @@ def preferred_names(names: DataFrame) -> DataFrame:
     return names.groupBy("node").agg(pick).select("node", F.coalesce("m.name", F.lit("unknown virus")).alias("name"))
 
 
-def read_sample_sheet(spark: SparkSession, path: str, platform: str, single_end_platforms: tuple[str, ...] = ("ont", "pacbio")) -> DataFrame:
-    """(sample, fastq_1[, fastq_2]); the header tells single from paired, and has to suit the platform."""
+#: Platforms that sample sheets may name, those whose reads are single, and those that are worked on (fixed values).
+PLATFORMS, SINGLE_END, IMPLEMENTED = ("illumina", "aviti", "ont", "pacbio"), ("ont", "pacbio"), ("illumina", "aviti", "ont")
+
+
+def read_sample_sheet(spark: SparkSession, path: str, platform: str, single_end_platforms: tuple[str, ...] = SINGLE_END) -> DataFrame:
+    """(sample, fastq_1[, fastq_2]) or (sample, fastq); the header tells single from paired, and has to suit the platform. Sheets are small; errors come at once.
+
+    Errors: an unknown platform or one that isn't worked on, a header that suits neither, an empty or repeated sample, an empty file.
+    """
+    for names, what in ((PLATFORMS, "unknown"), (IMPLEMENTED, "not worked on")):
+        if platform not in names:
+            raise TableError(f"platform is {what}: {platform}")
     df = spark.read.option("header", True).csv(path)
     names = df.columns
     if names[:3] == ["sample", "fastq_1", "fastq_2"]:
@@ -158,9 +170,23 @@ def read_sample_sheet(spark: SparkSession, path: str, platform: str, single_end_
         raise TableError(f"unknown header of a sample sheet: {names}")
     if paired == (platform in single_end_platforms):
         raise TableError(f"platform {platform} doesn't go with {'paired' if paired else 'single'} reads")
+    empty = F.greatest(*[(F.coalesce(F.trim(c), F.lit("")) == "").cast("int") for c in names[: 3 if paired else 2]])
+    bad = df.groupBy("sample").agg(F.max(empty).alias("empty"), F.count(F.lit(1)).alias("n")).where("empty > 0 OR n > 1").limit(1).collect()
+    if bad:
+        raise TableError(f"sample is empty, repeated or without a file: {bad[0]['sample']}")
     return df
 
 
+def expected_suffixes(path: str, platform: str, table: tuple[str, ...], base: str = "expected-outputs-run", extra: str = "expected-outputs-run-shortread-extra") -> list[str]:
+    """What follows ``{SAMPLE}_`` in the outputs that a table of a TOML file lists, ``.gz`` left out, sorted, each once; those of ``extra`` only for illumina. Other entries are left out."""
+    with open(path, "rb") as f:
+        lists = tomllib.load(f)
+    for k in table:
+        lists = lists.get(k, {})
+    wanted = [*lists.get(base, []), *(lists.get(extra, []) if platform == "illumina" else [])]
+    return sorted({s.split("{SAMPLE}_", 1)[1].removesuffix(".gz") for s in wanted if "{SAMPLE}_" in s})
+
+
 def read_run_inputs(spark: SparkSession, path: str, base: str) -> DataFrame:
     """(label, results_dir, groups_path) of a list of runs; relative paths are taken from ``base``; empty ones are errors when read."""
     df = spark.read.option("header", True).csv(path)
@@ -174,6 +200,18 @@ def read_run_inputs(spark: SparkSession, path: str, base: str) -> DataFrame:
     return df.select("label", placed("run_results_dir").alias("results_dir"), placed("groups_tsv").alias("groups_path"))
 
 
+def run_groups(spark: SparkSession, inputs: DataFrame) -> DataFrame:
+    """(label, results_dir, sample, group): the rows of the tables of groups that read_run_inputs names; a sample twice in a run is an error at once."""
+    tables = inputs.select("label", "results_dir", "groups_path")
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"^(?:file:)?/*(.*)$", 1)
+    paths = [x.groups_path for x in tables.select("groups_path").distinct().collect()]  # one for each run
+    if not paths:
+        return tables.select("label", "results_dir").limit(0).withColumns({"sample": F.lit("x"), "group": F.lit("x")})
+    groups = read_tsv(spark, paths, "sample string, `group` string").select(name.alias("__file"), "sample", "group")
+    out = tables.join(groups, F.regexp_extract("groups_path", r"^(?:file:)?/*(.*)$", 1) == F.col("__file")).select("label", "results_dir", "sample", "group")
+    return assert_unique(out, ["label", "sample"])
+
+
 def discover_outputs(samples: DataFrame, suffixes: list[str], files: DataFrame) -> DataFrame:
     """(sample, suffix, file) of each sample and suffix, the compressed file before the plain one; an error lists what is missing.
 
