@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from virelay.session import cut_lineage
+from virelay.session import counted_cut, cut_lineage
 
 #: Contraction at least halves the vertices of most rounds; this many rounds are never needed.
 MAX_ROUNDS = 200
@@ -24,7 +24,7 @@ def contract(edges: DataFrame, seed: int = 17) -> DataFrame:
     execution splits long runs of one vertex. Edges of a vertex with itself or null, and repeated or reversed ones, change nothing.
     """
     pairs = edges.where("a <> b").select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
-    state, mappings = _kept(pairs.select(F.lit(True).alias("edge"), "x", "y")), []
+    state, mappings = counted_cut(pairs.select(F.lit(True).alias("edge"), "x", "y"), F.col("edge")), []
     while state[1]:
         if len(mappings) == MAX_ROUNDS:
             raise RuntimeError(f"links are left after {MAX_ROUNDS} rounds")
@@ -36,7 +36,7 @@ def contract(edges: DataFrame, seed: int = 17) -> DataFrame:
         far = hooks.join(hooks.select(F.col("v").alias("r"), F.col("r").alias("rr")), "r").select("v", F.col("rr").alias("r"))
         moved = now.join(far.toDF("x", "rx"), "x").join(far.toDF("y", "ry"), "y").where("rx <> ry")
         moved = moved.select(F.lit(True).alias("edge"), F.least("rx", "ry").alias("x"), F.greatest("rx", "ry").alias("y")).distinct()
-        state = _kept(moved.unionByName(far.select(F.lit(False).alias("edge"), F.col("v").alias("x"), F.col("r").alias("y"))))
+        state = counted_cut(moved.unionByName(far.select(F.lit(False).alias("edge"), F.col("v").alias("x"), F.col("r").alias("y"))), F.col("edge"))
         mappings.append(state[0].where("NOT edge").toDF("edge", "v", "r").select("v", "r"))
     if not mappings:
         return pairs.limit(0).toDF("v", "r")
@@ -49,13 +49,6 @@ def contract(edges: DataFrame, seed: int = 17) -> DataFrame:
     return labels
 
 
-def _kept(state: DataFrame) -> tuple[DataFrame, int]:
-    """The rows, checkpointed, and how many of them are edges."""
-    seen = Observation()
-    kept = cut_lineage(state.observe(seen, F.count_if("edge").alias("n")))
-    return kept, seen.get["n"]
-
-
 def numbered(names: DataFrame, name: str) -> DataFrame:
     """(name, id bigint) of each distinct non-null name; checkpointed, so the ids stay what they are."""
     return cut_lineage(names.where(F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct().withColumn("id", F.monotonically_increasing_id()))

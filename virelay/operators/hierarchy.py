@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from virelay.session import cut_lineage
+from virelay.session import counted_cut, cut_lineage
 
 #: Nodes that one fragment may hold, and those worth a fragment; a forest of fewer is solved in one.
-FRAGMENT_NODES, LEAST_NODES = 50_000, 200
+FRAGMENT_NODES, LEAST_NODES = 50_000, 300
 #: Values of one Arrow array.
 _CHUNK = 1 << 28
 _SOLVED = "frag long, node long, parent long, exit long, steps array<bigint>"
@@ -86,13 +86,13 @@ def _n_fragments(spark: SparkSession, n: int, fragment_nodes: int) -> int:
 def _fragments(links: DataFrame, n: int, level: int, fragment_nodes: int) -> DataFrame:
     """``links`` with the number of their fragment, up to about ``fragment_nodes`` nodes in each.
 
-    The first level spreads nodes by hash. Below, a node and its parent meet under the one of smaller hash, so
+    A node and its parent meet under the one of smaller hash, so
     a third of all links or more fall inside fragments whatever their number, and chains shrink by a fixed rate at
     each level; where more nodes than a fragment holds would meet under one parent, they are spread by hash.
     """
     count = _n_fragments(links.sparkSession, n, fragment_nodes)
     spread = F.xxhash64("node", F.lit(level))
-    if level == 0 or count == 1:
+    if count == 1:
         return links.select(F.pmod(spread, F.lit(count)).alias("frag"), "node", "parent", "load")
     # the hash of a null parent is a constant: a root meets its children under its own name only
     under = F.col("parent").isNotNull() & (F.xxhash64("parent", F.lit(level)) < spread)
@@ -115,8 +115,7 @@ def _solve(links: DataFrame, n: int, level: int, fragment_nodes: int) -> DataFra
     gates = solved.where(F.col("exit").isNotNull()).select(F.col("exit").alias("node")).distinct()
     # a gate that hangs on a loop inside its fragment is linked to itself: it stays on a loop
     lost = F.col("steps").isNull()
-    quotient = cut_lineage(solved.join(gates, "node", "left_semi").select("node", F.when(lost, F.col("node")).otherwise(F.col("exit")).alias("parent"), F.coalesce("steps", F.array().cast("array<bigint>")).alias("load")))
-    m = quotient.count()
+    quotient, m = counted_cut(solved.join(gates, "node", "left_semi").select("node", F.when(lost, F.col("node")).otherwise(F.col("exit")).alias("parent"), F.coalesce("steps", F.array().cast("array<bigint>")).alias("load")))
     upper = _solve(quotient, m, level + 1, fragment_nodes).select(F.col("node").alias("exit"), F.col("path").alias("above"))
     own = solved.select("node", "exit", "steps")
     return own.join(upper, "exit", "left").select(
@@ -135,8 +134,8 @@ def full_paths(links: DataFrame, fragment_nodes: int = FRAGMENT_NODES) -> DataFr
     whole, at some level. Empty input gives no rows. The result is checkpointed, as trees are used
     again and again.
     """
-    links = cut_lineage(links.select("node", "parent"))
-    return cut_lineage(_solve(links.withColumn("load", F.array("node")), links.count(), 0, fragment_nodes))
+    links, n = counted_cut(links.select("node", "parent"))
+    return cut_lineage(_solve(links.withColumn("load", F.array("node")), n, 0, fragment_nodes))
 
 
 def descendants(paths: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from virelay.session import cut_lineage
+from virelay.session import counted_cut, cut_lineage
 
 
 @dataclass(frozen=True)
@@ -115,8 +115,8 @@ def orphan_entities(tables: dict[str, DataFrame], entities: list[Entity]) -> Dat
     jumps = links.join(found.select("t", "k"), ["t", "k"], "left_anti").select("t", "k", "pt", "pk")
     while True:
         jumps = cut_lineage(jumps)
-        new = cut_lineage(jumps.join(found.select(F.col("t").alias("pt"), F.col("k").alias("pk")), ["pt", "pk"], "left_semi").select("t", "k"))
-        if new.isEmpty():
+        new, n = counted_cut(jumps.join(found.select(F.col("t").alias("pt"), F.col("k").alias("pk")), ["pt", "pk"], "left_semi").select("t", "k"))
+        if not n:
             break
         found = found.unionByName(new.withColumn("inherited", F.lit(True)))
         open_ = jumps.join(new, ["t", "k"], "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only up to this many bytes; beyond it Spark plans the join itself.
@@ -38,6 +38,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def counted_cut(df: DataFrame, count: Column | None = None) -> tuple[DataFrame, int]:
+    """``df`` by cut_lineage, and how many rows it has, or for how many ``count`` is true, found in the same job."""
+    seen = Observation()
+    kept = cut_lineage(df.observe(seen, (F.count(F.lit(1)) if count is None else F.count_if(count)).alias("n")))
+    return kept, seen.get["n"]
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A table as it is read, over as many tasks as run at once where its files give fewer, as small ones do; large tables stay as they are."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def broadcast_if_small(df: DataFrame, n_bytes: int | None, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast for a side whose counted bytes (null: none) are within ``limit``."""
     return F.broadcast(df) if (n_bytes or 0) <= limit else df
