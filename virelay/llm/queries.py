@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from virelay.llm import bpe, components, mixing, sentences, top_n
-from virelay.session import table
+from virelay.session import spread_scan, table
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -42,7 +42,7 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return sentences.sentences(table(spark, d, "documents"))
+    return sentences.sentences(spread_scan(table(spark, d, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p5_found, p5_groups, p7_ids, p8_mix, p8_shares, p9_found)}
