@@ -5,7 +5,6 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from virelay.llm import sentences
 from virelay.operators import hierarchy as h
 
 DATA = Path("/root/testdata/sf0.001")
@@ -66,26 +65,3 @@ def test_joins_take_whole_tables(spark, rows, how):
 
 def test_strict_join_of_a_growing_pair(spark, rows):
     assert len(same_as_sql(spark, rows, "join_strict_parts")) == spark.read.parquet(str(DATA / "lineitem.parquet")).count()
-
-
-MARKS = {"„": "“", "“": "”", "»": "«", "«": "»", '"': '"', "''": "''", "「": "」"}
-
-
-@pytest.mark.parametrize("open_", MARKS)
-@pytest.mark.parametrize("n", [3, 60, 3000])
-def test_long_quotations_are_one_unit(spark, open_, n):
-    if open_ == "「":
-        text = "老人は言った。「" + "船は港を出た。" * n + "」と船長は言った。雨が降った。"
-    else:
-        text = f"It rained. The captain said: {open_}" + " ".join(["The ship left the port."] * n) + f"{MARKS[open_]} Then they left."
-    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    got = [text[r.start_char : r.end_char] for r in sentences.sentences(df, boxes=None).orderBy("start_char").collect()]
-    assert len(got) == 3 and open_ in got[1] and MARKS[open_] in got[1]
-
-
-@pytest.mark.parametrize("n", [3, 60])
-def test_text_between_german_quotations_is_cut(spark, n):
-    text = "(»Wer kam?«) " + "Er ging heim. " * n + "»Wer kam?« fragte er. Regen fiel."
-    text = text.replace("(»", "x»").replace("«)", "«")
-    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    assert sentences.sentences(df, boxes=None).count() >= n
