@@ -191,3 +191,16 @@ def test_paired_table_of_mates_that_disagree(spark):
             workflows.hits_from_sam(spark.createDataFrame(bad, cols), genomes, 1.0, viral).collect()
     with pytest.raises(Exception, match="unknown genome"):
         workflows.hits_from_sam(spark.createDataFrame(rows, cols), genomes.where("taxid = 7"), 1.0, viral).collect()
+
+
+def test_long_reads_that_are_missing(spark):
+    from virelay.operators import align
+
+    sam = spark.createDataFrame([("a", 0, "g1", 11, 40, "4M", 30, 5, 0, 1), ("b", 16, "g1", 5, 40, "4M", 20, 5, 0, 2)], "seq_id string, flag int, rname string, pos int, mapq int, cigar string, as_score int, xs_score int, nm int, ordinal long")
+    sam = sam.withColumns({"seq": F.lit("NNNN"), "qual": F.lit("!!!!")})
+    genomes = spark.createDataFrame([("g1", 7)], "genome_id string, taxid long")
+    read = spark.createDataFrame([("b", "AACC", "1234")], "seq_id string, seq string, qual string")
+    one = align.long_read_hits(sam, read, genomes).collect()
+    assert [(r.seq_id, r.query_seq, r.query_qual, r.ref_start, r.taxid, r.classification) for r in one] == [("b", "GGTT", "4321", 4, 7, "primary")]
+    with pytest.raises(Exception, match="without its read"):
+        align.long_read_hits(sam, read, genomes, strict=True).collect()

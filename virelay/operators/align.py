@@ -145,13 +145,13 @@ def unpaired_hits(sam: DataFrame, genomes: DataFrame, viral: DataFrame | None =
     return s.select("seq_id", F.col("rname").alias("genome_id"), "taxid", *_mate_fields(), F.col("norm_score").alias("length_normalized_score"), _class_of(F.col("flag")).alias("classification"), F.col("ordinal").alias("row_no"))
 
 
-def long_read_hits(sam: DataFrame, reads: DataFrame, genomes: DataFrame, viral: DataFrame | None = None) -> DataFrame:
+def long_read_hits(sam: DataFrame, reads: DataFrame, genomes: DataFrame, viral: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """One row for each mapped alignment, with the read's own (unmasked) sequence and qualities, turned if it lies reversed.
 
-    ``reads`` has seq_id, seq and qual. An alignment without its read, or to an unknown genome, is an error when rows are read. Classification: supplementary, else secondary, else primary.
+    ``reads`` has seq_id, seq and qual. An alignment to an unknown genome, and with ``strict`` one without its read, is an error when rows are read; else the latter is left out. Classification: supplementary, else secondary, else primary.
     """
     whole = reads.select("seq_id", "seq", "qual", F.lit(True).alias("__read"))
-    s = _with_taxids(sam.drop("seq", "qual"), genomes, viral).join(whole, "seq_id", "left")
+    s = _with_taxids(sam.drop("seq", "qual"), genomes, viral).join(whole, "seq_id", "left" if strict else "inner")
     s = s.withColumn("seq_id", F.when(F.col("__read"), F.col("seq_id")).otherwise(F.raise_error(F.concat(F.lit("alignment without its read: "), "seq_id"))))
     return s.select(
         "seq_id", F.col("rname").alias("genome_id"), "taxid", *_mate_fields(), sq.long_read_score(F.col("as_score"), F.length("seq")).alias("length_normalized_score"),

@@ -20,7 +20,7 @@ def read_counts(reads: DataFrame, sample: str, paired: bool) -> DataFrame:
     return n.select("sample", (F.col("n") * (2 if paired else 1)).alias("n_reads_single"), (F.col("n") if paired else F.lit(None).cast("bigint")).alias("n_read_pairs"))
 
 
-def basic_stats(reads: DataFrame, sample: str, seq: str, qual: str | None = None) -> DataFrame:
+def basic_stats(reads: DataFrame, sample: str, seq: str) -> DataFrame:
     """For each sample: n_reads, n_bases, mean_seq_len, percent_gc, percent_duplicates (reads whose sequence came before), n_distinct.
 
     Sequences are combined for each (sample, sequence) first, which spreads a large sample. Null sequences don't count.
