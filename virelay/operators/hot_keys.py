@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from virelay.session import cut_lineage
+
 #: Doubles are summed apart for each band of so many powers of two, as whole multiples of the band's smallest step. 53 bits make a double.
 _BAND, _MANTISSA, _LEAST = 32, 53, -1074
 
@@ -73,8 +75,8 @@ def heavy_keys(df: DataFrame, key: str, least_percent: int) -> DataFrame:
     """Keys that hold at least ``least_percent`` of all rows: key, n_rows, n_total.
 
     Rows with a null key belong to the total. The comparison is in whole numbers, so it is exact. Empty input
-    gives no rows. The table is read once; the total is the sum of the counts.
+    gives no rows. The table is read once: the counts, a row for each key, are checkpointed, and the total is their sum.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")))
     total = counts.agg(F.sum("n_rows").alias("n")).scalar()
     return counts.where(F.col(key).isNotNull()).withColumn("n_total", total).where(F.col("n_rows") * 100 >= F.col("n_total") * least_percent)
