@@ -204,3 +204,19 @@ def test_long_reads_that_are_missing(spark):
     assert [(r.seq_id, r.query_seq, r.query_qual, r.ref_start, r.taxid, r.classification) for r in one] == [("b", "GGTT", "4321", 4, 7, "primary")]
     with pytest.raises(Exception, match="without its read"):
         align.long_read_hits(sam, read, genomes, strict=True).collect()
+
+
+def test_profiles_and_validated_groups(spark, rows):
+    from virelay.plans import workflows
+
+    a, b = spark.createDataFrame([(1, "x")], "taxid long, name string"), spark.createDataFrame([("y", 2)], "name string, taxid long")
+    assert rows(workflows.profile_tables({"TRUE": a, "FALSE": b}).select("taxid", "name", "ribosomal")) == [(1, "x", "TRUE"), (2, "y", "FALSE")]
+    paths = h.full_paths(spark.createDataFrame([(1, None), (5, 1), (6, 5)], "node long, parent long"))
+    hits = spark.createDataFrame([("s1", 6, "g"), ("s2", 6, "g")], "seq_id string, aligner_taxid_lca long, `group` string")
+    db = spark.createDataFrame([(6, 5), (5, None)], "taxid long, taxid_species long")
+    members = spark.createDataFrame([("s1", "s1"), ("s2", "s1")], "seq_id string, vsearch_cluster_rep_id string")
+    search = spark.createDataFrame([("s1", "x", 5, 50.0, 30, 1), ("s1", "x", 5, 40.0, 30, 2)], "qseqid string, sseqid string, staxid long, bitscore double, length int, ordinal long")
+    groups = spark.createDataFrame([("g",), ("empty",)], "`group` string")
+    out, empty = workflows.validated_groups(hits, db, members, search, paths, groups)
+    got = {r.seq_id: (r.validation_lca, r.validation_distance_aligner, r.validation_distance_validation) for r in out.collect()}
+    assert got == {"s1": (5, 1, 0), "s2": (5, 1, 0)} and "taxid_species" not in out.columns and rows(empty) == [("empty",)]
