@@ -26,8 +26,11 @@ _CJK = r"\u3005\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
 _THAI = r"ก-๏๚๛"
 # Line ends and blanks other than the usual ones; what lies between columns in a line read across them.
 _LINE_ENDS, _BLANKS = r"[\r\x0b\f\x85\u2028\u2029]", r"(?=[\u00a0\u1680-\u3000\ufeff])[\u00a0\u1680\u2000-\u200b\u202f\u205f\u3000\ufeff]"
+# Either of the two, by one look in front that most characters fail.
+_ODD = r"(?=[\x0b-\r\x85\u00a0\u1680-\u3000\ufeff])[\x0b-\r\x85\u00a0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
 _GAPS = r"(?<=\S)(?: *\t *| {2,}\| +| {3,})(?=\S)"
-_ORNAMENT = rf"^[{_BLANK}=~—–\-*·•_|#+]*$"
+_SPACES = " \t\n\x0b\f\r"
+_ORNAMENT = _SPACES + "=~—–-*·•_|#+"
 
 # Abbreviations that a name, a number or more of the sentence follows.
 _TITLES = [
@@ -65,6 +68,11 @@ def _if_has(c: Column, chars: str, change) -> Column:
     return _let(c, lambda x: F.when(x.contains(chars) if len(chars) == 1 else x.rlike(f"[{chars}]"), change(x)).otherwise(x))
 
 
+def _ornament(c: Column) -> Column:
+    """Whether a line has nothing but ornaments and blanks."""
+    return F.ltrim(c, F.lit(_ORNAMENT)) == ""
+
+
 def _capitals(c: Column) -> Column:
     letters = F.length(_sub(c, r"[^\p{Lu}\p{Ll}]", ""))
     return (letters >= 3) & (F.length(_sub(c, r"[^\p{Lu}]", "")) >= letters * 0.8)
@@ -138,8 +146,7 @@ def _told(rows: Column) -> Column:
 
             def kept(advert: Column) -> Column:
                 kind = F.when(~r["unsure"], r["kind"]).when(titled, _H).when(advert, _A).when(short, _P).otherwise(_B)
-                out = F.array_append(acc["out"], _row(r["k"], r["at"], r["txt"], kind, r["col"], r["caps"]))
-                return F.struct(out.alias("out"), r["col"].alias("col"), w["nth"].alias("nth"), r["txt"].alias("prev"), advert.alias("open"))
+                return F.struct(F.array_append(acc["kinds"], kind).alias("kinds"), r["col"].alias("col"), w["nth"].alias("nth"), r["txt"].alias("prev"), advert.alias("open"))
 
             return _let(heading | (w["open"] & r["unsure"] & ~left), kept)
 
@@ -150,9 +157,10 @@ def _told(rows: Column) -> Column:
 
         return one
 
-    none = F.array().cast("array<struct<order:int,k:int,at:int,txt:string,kind:int,caps:boolean>>")
-    zero = F.struct(none.alias("out"), F.lit(-1).alias("col"), F.lit(0).alias("nth"), F.lit("").alias("prev"), F.lit(False).alias("open"))
-    return _let(most, lambda m: F.sort_array(F.aggregate(rows, zero, step(m), lambda acc: acc["out"])))
+    zero = F.struct(F.array().cast("array<int>").alias("kinds"), F.lit(-1).alias("col"), F.lit(0).alias("nth"), F.lit("").alias("prev"), F.lit(False).alias("open"))
+    # only kinds are carried from step to step: what a step carries is copied
+    kinds = _let(most, lambda m: F.aggregate(rows, zero, step(m), lambda acc: acc["kinds"]))
+    return F.sort_array(F.zip_with(rows, kinds, lambda r, kind: _row(r["k"], r["at"], r["txt"], kind, r["col"], r["caps"])))
 
 
 def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> DataFrame:
@@ -164,11 +172,10 @@ def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> Data
     """
     x0s, x1s = (F.col(boxes).getField(c).cast("array<int>") if boxes else F.lit(None).cast("array<int>") for c in ("x0", "x1"))
     docs = df.select(F.col(doc_id).alias("doc"), F.col(text).alias("t"), x0s.alias("x0s"), x1s.alias("x1s"))
-    docs = docs.where(F.col("doc").isNotNull() & F.col("t").isNotNull() & F.col("t").rlike(r"\S"))
+    docs = docs.where(F.col("doc").isNotNull() & F.col("t").isNotNull() & (F.ltrim(F.col("t"), F.lit(_SPACES)) != ""))
     # one mark for all line ends and one for all blanks, a character for a character
-    plain = F.when(F.col("t").rlike(_LINE_ENDS), _sub(F.col("t"), _LINE_ENDS, "\n")).otherwise(F.col("t"))
-    docs = docs.select("doc", "x0s", "x1s", plain.alias("t"), (F.octet_length("t") > F.length("t")).alias("wide"))
-    docs = docs.select("doc", "x0s", "x1s", F.when(F.col("wide") & F.col("t").rlike(_BLANKS), _sub(F.col("t"), _BLANKS, " ")).otherwise(F.col("t")).alias("t"))
+    plain = F.when(F.col("t").rlike(_ODD), _sub(_sub(F.col("t"), _LINE_ENDS, "\n"), _BLANKS, " ")).otherwise(F.col("t"))
+    docs = docs.select("doc", "x0s", "x1s", plain.alias("t"))
     # lines with the blank ones that follow them; blank ones before the first are a part of their own
     may_gap = F.col("t").contains("   ") | F.col("t").contains("\t") | F.col("t").contains("  |")
     p = docs.select("doc", "x0s", "x1s", F.split("t", r"\n(?=[ \t]*\S)").alias("parts"), may_gap.alias("may_gap"))
@@ -227,23 +234,23 @@ def page_lines(df: DataFrame, doc_id: str, text: str, boxes: str | None) -> Data
 
         least = F.array_min(F.flatten(F.transform(lines, lambda s: s["gaps"])))
         pieces = _let(least, lambda m: F.flatten(F.transform(lines, lambda s: of_line(s, m))))
-        return _let(F.sort_array(F.filter(pieces, lambda r: ~r["txt"].rlike(_ORNAMENT))), _told)
+        return _let(F.sort_array(F.filter(pieces, lambda r: ~_ornament(r["txt"]))), _told)
 
     def lines(row) -> Column:
-        return F.sort_array(F.filter(F.transform("parts", row), lambda r: ~r["txt"].rlike(_ORNAMENT)))
+        return F.sort_array(F.filter(F.transform("parts", row), lambda r: ~_ornament(r["txt"])))
 
     rows = F.when(F.col("places").isNull(), lines(bare_row)).when(F.col("across"), _let(F.transform("parts", cut_up), spread)).otherwise(lines(boxed_row))
     return p.select("doc", rows.alias("rows"))
 
 
 def _running(rows: Column) -> Column:
-    """The rows with ``lead``, a mark in front of those that begin a paragraph, and ``piece``, their text; headlines and advert headings masked."""
+    """The rows' texts, with a mark in front of those that begin a paragraph; headlines and advert headings masked, a character for a character."""
 
     def neutral(r: Column) -> Column:
         return F.translate(r["txt"], _TERMS + " ;|\"“”„«»'‘’「」『』()（）", _END * len(_TERMS) + _GAP + _MARK * 20)
 
     def piece(r: Column, fresh: Column, head: Column) -> Column:
-        return F.struct(r["at"].alias("at"), F.when(fresh, _PARA).otherwise("").alias("lead"), F.when(head, neutral(r)).otherwise(r["txt"]).alias("piece"))
+        return F.concat(F.when(fresh, _PARA).otherwise(""), F.when(head, neutral(r)).otherwise(r["txt"]))
 
     def without_adverts(r: Column, i: Column) -> Column:
         p = F.get(rows, i - 1)
@@ -297,7 +304,7 @@ def mask(c: Column) -> Column:
         r"(?<=\s[вВ]\sг\.)",
         rf"(?<={word}д\.)(?=\s+\p{{N}})",
     ]
-    c = _let(c, lambda x: F.when(x.contains(" St.") | x.contains("\nSt."), _sub(x, r"(\p{N}\s\p{L}++\sS)t(?=\.)", f"$1{_STREET}")).otherwise(x))
+    c = _let(c, lambda x: F.when(x.contains("St."), _sub(x, r"(\p{N}\s\p{L}++\sS)t(?=\.)", f"$1{_STREET}")).otherwise(x))
     c = _sub(c, rf"\.(?:{'|'.join(dots)})", _DOT)
     # a raised dot read for a dot, where a sentence begins behind it
     c = _if_has(c, "·", lambda x: _sub(x, r"·(?<=[\p{L}\p{N})”»]·)(?<![\u0370-\u03ff\u1f00-\u1fff]·)(?=\s+\p{Lu})", "."))
@@ -332,7 +339,7 @@ def _inside(c: Column, open_: str, close: str) -> Column:
         pair = (i > 0) & e.contains(close) & ~head.contains(_PARA)
         return F.when(pair, F.concat(F.translate(head, _TERMS, _END * len(_TERMS)), F.substr(e, F.length(head) + 1))).otherwise(e)
 
-    return F.array_join(F.transform(F.split(c, f"[{open_}]"), part), open_)
+    return F.array_join(F.transform(F.split(c, "\\(" if open_ == "(" else open_), part), open_)
 
 
 def cut(c: Column) -> Column:
@@ -353,47 +360,41 @@ def cut(c: Column) -> Column:
     said = rf"{_END}{_MARK}?{_CLOSE}(?=\s*(?:{han}|[{_OPEN}{_NAME}「『（{_MARK}\p{{N}}]))(?!{_SAID_CJK})"
     c = _if_has(c, r"\u3041-\u9fff", lambda x: _sub(_sub(_sub(x, full, f"$0{_CUT}"), half, f"$0{_CUT}"), said, f"$0{_CUT}"))
     c = _if_has(c, r"\u0e01-\u0e5b", lambda x: _sub(x, rf"[{_THAI}!?][ \t]+(?=\n?[{_THAI}])", f"$0{_CUT}"))
-    return _sub(c, _PARA, _CUT + _PARA)
-
+    return F.replace(c, F.lit(_PARA), F.lit(_CUT + _PARA))
 
-def _spans(run: Column, shifts: Column) -> Column:
-    """Start times 2**32 plus end of each sentence of the running text, in places of the page's text; ``shifts`` has the way there for each line."""
 
-    def lines(c: Column) -> Column:
-        return F.size(F.split(c, "\n")) - 1
+def _spans(pages: DataFrame) -> DataFrame:
+    """(doc, x): start times 2**32 plus end of each sentence of a page's running text, in places of the page's text.
 
-    blank = F.lit(f" \t\n{_PARA}{_GAP}")
+    ``pages`` has doc, run and shifts, the way to the page's text for each line. Values used more than once are columns: those bound inside a lambda
+    are copied each time.
+    """
 
-    def sizes(u: Column) -> Column:
-        def speckless(b: Column) -> Column:
-            speck = F.substring(b, 1, 2).rlike(r"^[|~·*•,'](?:\s|$)")
-            return F.when(speck, F.ltrim(F.substr(b, F.lit(2)), blank)).otherwise(b)
-
-        def measured(x: Column) -> Column:
-            """Lines are counted in what is trimmed, mostly nothing, and in the rest once."""
-            lead, n = x["size"] - x["rest"], F.length(x["t"])
-            return _let(
-                F.struct(lead.alias("lead"), n.alias("n"), lines(F.substr(u, F.lit(1), lead)).alias("l0"), lines(x["t"]).alias("l1")),
-                lambda y: F.struct(
-                    x["size"].alias("size"), y["lead"].alias("lead"), y["n"].alias("n"), (y["l0"] + y["l1"] + lines(F.substr(u, y["lead"] + y["n"] + 1))).alias("l"),
-                    y["l0"].alias("l0"), y["l1"].alias("l1"), x["t"].rlike(r"[\p{L}\p{N}]").alias("ok"),
-                ),
-            )
+    def lines(c: Column) -> Column:
+        return F.octet_length(c) - F.octet_length(F.replace(c, F.lit("\n"), F.lit("")))
 
-        def trimmed(b: Column) -> Column:
-            return F.struct(F.length(u).alias("size"), F.length(b).alias("rest"), F.rtrim(b, blank).alias("t"))
+    def speck(b: Column) -> Column:
+        return F.lit("|~·*•,'").contains(F.substring(b, 1, 1)) & F.substring(b, 1, 2).rlike(r"^[|~·*•,'](?:\s|$)")
 
-        return _let(_let(speckless(F.ltrim(u, blank)), trimmed), measured)
+    def speckless(b: Column) -> Column:
+        return F.when(speck(b), F.ltrim(F.substr(b, F.lit(2)), blank)).otherwise(b)
 
-    def step(acc: Column, x: Column) -> Column:
-        at = acc["at"] + x["lead"]
-        start, end = at + F.get(shifts, acc["line"] + x["l0"]), at + x["n"] + F.get(shifts, acc["line"] + x["l0"] + x["l1"])
-        span = F.shiftleft(start.cast("bigint"), 32) + end
-        return F.struct((acc["at"] + x["size"]).alias("at"), (acc["line"] + x["l"]).alias("line"), F.when(x["ok"], F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def step(acc: Column, u: Column) -> Column:
+        i, t = acc["i"], F.get("trimmed", acc["i"])
+        at, line = acc["at"] + F.get("leads", i), acc["line"] + F.get("lead_lines", i)
+        span = F.shiftleft((at + F.get("shifts", line)).cast("bigint"), 32) + (at + F.length(t) + F.get("shifts", line + lines(t)))
+        out = F.when(t.rlike(r"[\p{L}\p{N}]"), F.array_append(acc["out"], span)).otherwise(acc["out"])
+        return F.struct((i + 1).alias("i"), (acc["at"] + F.length(u)).alias("at"), (acc["line"] + lines(u)).alias("line"), out.alias("out"))
 
-    none = F.array().cast("array<bigint>")
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("line"), none.alias("out"))
-    return F.aggregate(F.transform(F.split(cut(mask(run)), _CUT), sizes), zero, step, lambda acc: acc["out"])
+    blank = F.lit(f" \t\n{_PARA}{_GAP}")
+    p = pages.select("doc", "shifts", F.split(cut(mask(F.col("run"))), _CUT).alias("units"))
+    p = p.select("doc", "shifts", "units", F.transform("units", lambda u: F.ltrim(u, blank)).alias("rest"))
+    p = p.select("doc", "shifts", "units", F.when(F.exists("rest", speck), F.transform("rest", speckless)).otherwise(F.col("rest")).alias("rest"))
+    leads, trimmed = F.zip_with("units", "rest", lambda u, b: F.length(u) - F.length(b)), F.transform("rest", lambda b: F.rtrim(b, blank))
+    p = p.select("doc", "shifts", "units", leads.alias("leads"), trimmed.alias("trimmed"))
+    p = p.select("doc", "shifts", "units", "leads", "trimmed", F.zip_with("units", "leads", lambda u, n: lines(F.substr(u, F.lit(1), n))).alias("lead_lines"))
+    zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("at"), F.lit(0).alias("line"), F.array().cast("array<bigint>").alias("out"))
+    return p.select("doc", F.aggregate("units", zero, step, lambda acc: acc["out"]).alias("x"))
 
 
 def sentences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", boxes: str | None = "line_boxes") -> DataFrame:
@@ -408,14 +409,11 @@ def sentences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", boxes:
     Texts and quotations are cut whole, however long; a quotation ends with its paragraph at the latest. A page is done within its row; only
     doc_ids and places are shuffled, to find repeated rows.
     """
-    pages = page_lines(df, doc_id, text, boxes).select("doc", _let(F.col("rows"), _running).alias("rows"))
-
-    def flowing(rows: Column) -> Column:
-        flow = _starts(rows, lambda r: F.length(r["lead"]) + F.length(r["piece"]) + 1, F.lit(0))
-        shifts = _let(flow, lambda f: F.transform(rows, lambda r, i: r["at"] - F.get(f, i) - F.length(r["lead"])))
-        run = F.array_join(F.transform(rows, lambda r: F.concat(r["lead"], r["piece"])), "\n")
-        return _let(shifts, lambda s: _spans(run, s))
-
-    spans = pages.select("doc", _let(F.col("rows"), flowing).alias("x")).groupBy("doc").agg(F.collect_set("x").alias("x"))
+    pages = page_lines(df, doc_id, text, boxes)
+    pages = pages.select("doc", "rows", _running(F.col("rows")).alias("texts"))
+    # bound once: Spark would move a column that is used in one place only into the lambda, to be computed for each row
+    flow = _starts(F.col("texts"), lambda t: F.length(t) + 1, F.lit(0))
+    shifts = _let(flow, lambda f: F.transform("rows", lambda r, i: r["at"] + F.length(r["txt"]) - F.length(F.get("texts", i)) - F.get(f, i)))
+    spans = _spans(pages.select("doc", F.array_join("texts", "\n").alias("run"), shifts.alias("shifts"))).groupBy("doc").agg(F.collect_set("x").alias("x"))
     spans = spans.select("doc", F.explode(F.when(F.size("x") == 1, F.get("x", F.lit(0))).otherwise(F.array_distinct(F.flatten("x")))).alias("x"))
     return spans.select(F.col("doc").alias(doc_id), F.shiftright("x", 32).cast("int").alias("start_char"), F.col("x").bitwiseAND(0xFFFFFFFF).cast("int").alias("end_char"))
